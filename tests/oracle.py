@@ -1,0 +1,51 @@
+"""Compare registered queries with their SQL."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(
+            f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')"
+        )
+    return connection
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return None if math.isnan(value) else float(repr(value))
+    return value
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
+
+
+def differences(spark_df, connection, sql: str) -> str | None:
+    """None if both sides hold the same columns and the same rows."""
+    result = connection.execute(sql)
+    names = [column[0] for column in result.description]
+    if sorted(names) != sorted(spark_df.columns):
+        return f"columns differ: spark {sorted(spark_df.columns)}, sql {sorted(names)}"
+    expected = _rows(names, result.fetchall())
+    actual = _rows(spark_df.columns, [tuple(row) for row in spark_df.collect()])
+    if expected == actual:
+        return None
+    missing = list((expected - actual).items())[:3]
+    extra = list((actual - expected).items())[:3]
+    return (
+        f"rows differ: sql {sum(expected.values())}, spark {sum(actual.values())}; "
+        f"missing {str(missing)[:600]}; extra {str(extra)[:600]}"
+    )
