@@ -33,37 +33,31 @@ def rank_within(
 
 
 def rank_all(
-    df: DataFrame, metric: str, *, dense: bool = False, into: str = "rank", slices: int = 256
+    df: DataFrame, metric: str, *, dense: bool = False, into: str = "rank", slices: int | None = None
 ) -> DataFrame:
     """Rank all rows by ``metric`` descending; nulls rank last.
 
-    The distinct metric values are cut into ranges by a small hash-ordered sample of
-    them. Ranks run inside each range, and the totals of the ranges before it are added, so
-    the only rows that meet in one task are a range and the list of range totals. ``df`` is
-    staged, because ranges, totals and rows must see the same values.
+    The distinct metric values are cut into ranges. Ranks run inside each range, and the
+    totals of the ranges before it are added, so the only rows that meet in one task are
+    a range and the list of range totals. Rows and ranges are staged: they are read twice
+    and must be the same both times. Without ``slices``, AQE sizes the ranges.
     """
-    df = stage(df, "rank")
+    df = stage(df, "ranked")
+    falling = F.desc_nulls_last(metric)
     levels = df.groupBy(metric).agg(F.count("*").alias("_rows"))
-    cuts = (
-        levels.select(metric)
-        .where(F.col(metric).isNotNull())
-        .orderBy(F.xxhash64(metric), metric)
-        .limit(slices)
-        .agg(F.collect_list(metric).alias("_cuts"))
-    )
-    above = F.size(F.filter("_cuts", lambda cut: cut > F.col(metric)))
-    sliced = (
-        levels.withColumn("_cuts", cuts.scalar())
-        .withColumn("_slice", F.when(F.col(metric).isNull(), slices + 1).otherwise(above))
-        .drop("_cuts")
-    )
+    ranges = [slices, falling] if slices else [falling]
+    levels = levels.repartitionByRange(*ranges).withColumn("_slice", F.spark_partition_id())
+    levels = stage(levels, "levels")
     step = F.count("*") if dense else F.sum("_rows")
-    totals = sliced.groupBy("_slice").agg(step.alias("_total"))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_slice", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
-    ahead = Window.partitionBy("_slice").orderBy(F.desc_nulls_last(metric))
+    offsets = (
+        levels.groupBy("_slice")
+        .agg(step.alias("_total"))
+        .select("_slice", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
+    )
+    inner = _ranks_ahead(Window.partitionBy("_slice").orderBy(falling), dense, "_rows")
     ranked = (
-        sliced.withColumn("_inner", _ranks_ahead(ahead, dense, "_rows"))
+        levels.withColumn("_inner", inner)
         .join(offsets, "_slice")
         .select(
             F.col(metric).alias("_metric"),
