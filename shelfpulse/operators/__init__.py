@@ -1 +1 @@
-"""DataFrame to DataFrame; no reading, no writing."""
+"""DataFrame to DataFrame. Ranks and trends stage small aggregates they read twice."""

@@ -23,7 +23,7 @@ from shelfpulse.operators.reviews import (
     latest_crawl,
     valid_pages,
 )
-from shelfpulse.operators.rows import cap_per_key, within
+from shelfpulse.operators.rows import cap_per_key, dedup_latest, within
 from shelfpulse.schemas import (
     DWD_REVIEW,
     GAME,
@@ -65,7 +65,12 @@ def ods_rows(pages: DataFrame, settings: Settings, as_of: dt.date, days: int) ->
 
 def load_games(spark: SparkSession, settings: Settings) -> bool:
     """Replace the game dimension; tells whether a price that is in use changed."""
-    games = stage(flatten_games(read_game_details(spark, settings.game_landing)), "games")
+    fetched = flatten_games(read_game_details(spark, settings.game_landing))
+    # One row per game: a second listing would count every sale of the game twice.
+    games = dedup_latest(
+        fetched.where(F.col("appid").isNotNull()), ["appid"], [F.col(c) for c in GAME.names]
+    )
+    games = stage(games, "games")
     name = settings.table("game")
     if games.isEmpty():
         return False

@@ -23,7 +23,7 @@ from shelfpulse.sources import (
 )
 
 # Documents per page: a page collects a bounded range of ids.
-PAGE_SPAN = 400
+PAGE_SPAN = 100
 
 
 def document_pages(spark, sf_dir):

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 _local_roots: dict[str, str] = {}
+_run_folders: list[str] = []
+
+log = logging.getLogger(__name__)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -32,8 +39,35 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_root(spark)}/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    if _run_folders:
+        folder = _run_folders[-1]
+    else:
+        folder = f"{shared_root(spark)}/{spark.sparkContext.applicationId}"
+    return f"{folder}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """Gather what a run stages in one folder and delete it when the run is over.
+
+    A process has one run at a time; results that outlive the run are written as tables.
+    """
+    folder = scratch_path(spark, "run")
+    _run_folders.append(folder)
+    try:
+        yield folder
+    finally:
+        _run_folders.remove(folder)
+        _delete(spark, folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    try:
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Py4JJavaError:
+        # Left-over intermediate files cost space, not correctness.
+        log.warning("could not delete %s", folder, exc_info=True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -228,6 +228,7 @@ def _overwrite_days(
     """
     spark = rows.sparkSession
     before = [d for d in table_days(spark, name, day) if window is None or window.includes(d)]
+    had_undated = bool({UNDATED, "null"} & set(_partition_values(spark, name, day)))
     noted = [
         F.collect_set(day).alias("days"),
         F.count(F.lit(1)).alias("rows"),
@@ -247,7 +248,7 @@ def _overwrite_days(
         return 0
     filled = set(seen["days"])
     _drop_days(spark, name, [d for d in before if d not in filled], day)
-    if window is None and not seen["undated"]:
+    if window is None and had_undated and not seen["undated"]:
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{day}` = null)")
     return seen["rows"]
 

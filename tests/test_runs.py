@@ -9,6 +9,7 @@ from decimal import Decimal
 
 import pytest
 
+from shelfpulse.__main__ import parser, settings_from
 from shelfpulse.plans import backfill, layers, run_daily, run_full
 from shelfpulse.scratch import scratch_path
 from shelfpulse.settings import JdbcTarget, Settings
@@ -190,6 +191,33 @@ def test_nothing_landed_writes_nothing(spark, zone, settings):
     assert spark.table(settings.table("game")).count() == 1
 
 
+def test_game_listed_twice_counts_once(spark, zone, settings):
+    zone.price(g1=10)
+    details = zone.games / "details.json"
+    details.write_text(details.read_text() + "\n" + details.read_text())
+    zone.page("2024-01-20", 1, 1, [review("a", "2024-01-20")])
+    run_full(spark, settings, "2024-01-20")
+    assert gmv(spark, settings) == [("1", "2024-01-20", Decimal(10), 1)]
+
+
+def test_daily_run_before_anything_landed(spark, zone, settings):
+    zone.price(g1=10)
+    run_daily(spark, settings, "2024-01-20")
+    assert not spark.catalog.tableExists(settings.table("ods_review"))
+
+
+def test_command_line_settings(monkeypatch):
+    monkeypatch.setenv("SHELFPULSE_JDBC_PASSWORD", "secret")
+    args = parser().parse_args(
+        "daily --reviews r --games g --checkpoint c --cap 100 --as-of 2024-01-30 "
+        "--jdbc-url jdbc:x --jdbc-user root".split()
+    )
+    made = settings_from(args)
+    assert made.cap_per_game == 100 and made.review_landing == "r"
+    assert made.export.properties == {"user": "root", "password": "secret"}
+    assert made.export.batch_size == 5000 and made.export.table == "ads_steam_dashboard"
+
+
 def test_failed_batch_runs_again(spark, zone, tmp_path):
     zone.page("2024-01-20", 1, 1, [review("a", "2024-01-20")])
     checkpoint = str(tmp_path / "checkpoint")

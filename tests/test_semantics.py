@@ -219,6 +219,15 @@ def test_game_details(spark, tmp_path):
     assert three.appid is None and three.name == "Three"
 
 
+def test_last_crawl_of_game_details(spark, tmp_path):
+    for crawl, name in (("2024-01-01", "old"), ("2024-01-02", "new")):
+        (tmp_path / f"crawl_dt={crawl}").mkdir()
+        land(tmp_path, f"crawl_dt={crawl}/g.json", [
+            json.dumps({"1": {"success": True, "data": {"name": name}}})
+        ])
+    assert values(flatten_games(read_game_details(spark, str(tmp_path))), "name") == [("new",)]
+
+
 def test_list_expressions(spark):
     row = spark.createDataFrame([(None, None, None)], struct(
         a=GAME_DATA["developers"].dataType,

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from shelfpulse.functions.dates import DayWindow
-from shelfpulse.scratch import scratch_path, shared_root, stage
+from shelfpulse.scratch import scratch_path, shared_root, stage, staging
 from shelfpulse.sinks import (
     ExportMismatch,
     append_table,
@@ -277,6 +278,15 @@ def test_stage_keeps_rows_and_schema(spark):
     assert staged.schema == df.schema and staged.collect() == df.collect()
 
 
+def test_staging_folder_goes_with_the_run(spark):
+    with staging(spark) as folder:
+        staged = stage(spark.range(3), "gone")
+        assert staged.inputFiles()[0].startswith(f"file://{folder}/gone-")
+        assert staged.count() == 3
+    assert not Path(folder).exists()
+    assert not scratch_path(spark, "later").startswith(folder)
+
+
 def test_missing_table(spark, database):
     with pytest.raises(AnalysisException):
         read_table(spark, f"{database}.absent").collect()
