@@ -51,18 +51,15 @@ def label_by_rules(
         if words:
             hits = [F.contains(column, F.lit(word)).cast("int") for word in words]
             scored.append((label, F.coalesce(reduce(lambda a, b: a + b, hits), F.lit(0))))
-    if not scored:
-        return F.lit(fallback)
-    # Struct order compares hits first, then the negated rank of the label.
-    best = F.array_max(
-        F.array(
-            *[
-                F.struct(hits.alias("hits"), F.lit(-rank).alias("rank"), F.lit(label).alias("label"))
-                for rank, (label, hits) in enumerate(scored)
-            ]
-        )
-    )
-    return F.when(best["hits"] > 0, best["label"]).otherwise(F.lit(fallback))
+    # Struct order compares hits first, then the negated rank of the label. Without hits the
+    # fallback, which stands before all labels, is the largest.
+    candidates = [(F.lit(0), 1, fallback)]
+    candidates += [(hits, -rank, label) for rank, (label, hits) in enumerate(scored)]
+    scores = [
+        F.struct(hits.alias("hits"), F.lit(rank).alias("rank"), F.lit(label).alias("label"))
+        for hits, rank, label in candidates
+    ]
+    return F.array_max(F.array(*scores))["label"]
 
 
 def labels_by(

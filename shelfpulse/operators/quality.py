@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,13 +57,15 @@ def check(
     """Split rows by the rules; ``unique`` adds a rule that a key occurs once.
 
     All copies of a repeated key fail. The copies are counted by a partial aggregate and
-    joined back, not gathered in a window.
+    joined back, not gathered in a window; the report needs only the counts.
     """
     rules = dict(rules)
+    reports = [rule_report(df, rules)] if rules else []
     if unique:
+        reports.append(_unique_report(df, unique))
         copies = repeated_keys(df, unique).withColumnRenamed("copies", "_copies")
         df = df.join(copies, list(unique), "left")
-        rules["unique_" + "_".join(unique)] = F.col("_copies").isNull()
+        rules[_unique_rule(unique)] = F.col("_copies").isNull()
     broken = F.filter(
         F.array(*[F.when(~passed, F.lit(name)) for name, passed in rules.items()]),
         lambda name: name.isNotNull(),
@@ -72,7 +75,25 @@ def check(
     return Checked(
         good=marked.where(F.size("broken_rules") == 0).drop("broken_rules", *extra),
         quarantine=marked.where(F.size("broken_rules") > 0).drop(*extra),
-        report=rule_report(df, rules),
+        report=reduce(DataFrame.unionByName, reports),
+    )
+
+
+def _unique_rule(keys: Sequence[str]) -> str:
+    return "unique_" + "_".join(keys)
+
+
+def _unique_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    whole = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
+    repeated = F.when(whole & (F.col("copies") > 1), F.col("copies"))
+    return (
+        df.groupBy(*keys)
+        .agg(F.count("*").alias("copies"))
+        .agg(
+            F.lit(_unique_rule(keys)).alias("rule"),
+            F.coalesce(F.sum("copies"), F.lit(0)).alias("checked_rows"),
+            F.coalesce(F.sum(repeated), F.lit(0)).alias("failed_rows"),
+        )
     )
 
 

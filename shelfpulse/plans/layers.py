@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +20,7 @@ from shelfpulse.operators.boards import (
 )
 from shelfpulse.operators.cleaning import clean_reviews
 from shelfpulse.operators.metrics import overview, trend_1d
+from shelfpulse.operators.quality import check
 from shelfpulse.operators.reviews import (
     flatten_games,
     flatten_reviews,
@@ -125,6 +129,12 @@ def build_dwd(spark: SparkSession, settings: Settings, window: DayWindow | None)
     dwd = clean_reviews(ods.select(*ODS_REVIEW.names), settings.required)
     # The day follows from the creation time and is not part of the duplicate test.
     dwd = dwd.select(*DWD_REVIEW.names, created_day("timestamp_created").alias("dt"))
+    if settings.quality_rules:
+        rules = {name: F.expr(sql) for name, sql in settings.quality_rules.items()}
+        checked = check(stage(dwd, "dwd"), rules)
+        _store_days(checked.quarantine, settings, "quarantine", window)
+        replace_table(checked.report, settings.table("quality"), fmt=settings.table_format)
+        dwd = checked.good
     _store_days(dwd, settings, "dwd_review", window)
 
 
@@ -168,6 +178,7 @@ def build_gmv(spark: SparkSession, settings: Settings) -> None:
         FROM sold
         GROUP BY appid, dt
         """,
+        partitioned=False,
     )
 
 
@@ -176,14 +187,24 @@ def build_boards(spark: SparkSession, settings: Settings, as_of: dt.date) -> Non
     gmv = spark.table(settings.table("gmv"))
     trend = spark.table(settings.table("trend"))
     totals = recent_totals(gmv, as_of, settings.rank_days)
-    boards = {
-        "sales_rank": sales_rank(totals),
-        "gmv_rank": gmv_rank(totals),
-        "rate_rank": positive_rate_rank(trend, settings.min_reviews),
-        "growth": gmv_growth(gmv),
+    boards: dict[str, Callable[[], DataFrame]] = {
+        "sales_rank": lambda: sales_rank(totals),
+        "gmv_rank": lambda: gmv_rank(totals),
+        "rate_rank": lambda: positive_rate_rank(trend, settings.min_reviews),
+        "growth": lambda: gmv_growth(gmv),
     }
-    for role, board in boards.items():
-        replace_table(board, settings.table(role), fmt=settings.table_format)
+
+    def build(role: str) -> None:
+        replace_table(boards[role](), settings.table(role), fmt=settings.table_format)
+
+    together(*[partial(build, role) for role in boards])
+
+
+def together(*steps: Callable[[], object]) -> None:
+    """Run steps that do not depend on each other at the same time; the cluster is shared."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for result in [pool.submit(step) for step in steps]:
+            result.result()
 
 
 def _store_days(

@@ -17,11 +17,15 @@ SESSION_DEFAULTS = {
     # A dimension above this size is joined by shuffle instead of broadcast.
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.ui.enabled": "false",
+    # Recording the call site of every column expression slows the building of wide plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8",
+    # Small inputs still occupy all cores.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
 }
 
 

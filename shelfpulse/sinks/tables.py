@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -24,7 +24,11 @@ ICEBERG = "iceberg"
 
 
 @contextmanager
-def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
+def overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
+    """Set the partition overwrite mode of the session for a while.
+
+    Threads that share the session must run inside one such block.
+    """
     before = spark.conf.get(OVERWRITE_MODE)
     spark.conf.set(OVERWRITE_MODE, mode)
     try:
@@ -127,9 +131,13 @@ def append_table(df: DataFrame, name: str, *, fmt: str = "parquet") -> None:
         rows.write.mode("append").insertInto(name)
 
 
-def overwrite_from_sql(spark: SparkSession, sql: str) -> None:
-    """Run an ``INSERT OVERWRITE TABLE ... WITH ... SELECT ...`` that replaces everything."""
-    with _overwriting(spark, "static"):
+def overwrite_from_sql(spark: SparkSession, sql: str, *, partitioned: bool = True) -> None:
+    """Run an ``INSERT OVERWRITE TABLE ... WITH ... SELECT ...`` that replaces everything.
+
+    ``partitioned=False`` says that the target has no partitions; the overwrite mode of the
+    session does not matter then and is left alone.
+    """
+    with overwriting(spark, "static") if partitioned else nullcontext():
         spark.sql(sql)
 
 
@@ -235,7 +243,7 @@ def _overwrite_days(
         F.count_if(F.col(day).isNull()).alias("undated"),
     ]
     written = Observation()
-    with _overwriting(spark, "dynamic"):
+    with overwriting(spark, "dynamic"):
         observed = rows.observe(written, *noted)
         spread_by_day(observed, day).write.mode("overwrite").insertInto(name)
     try:

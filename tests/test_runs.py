@@ -179,6 +179,25 @@ def test_cap_and_required_columns(spark, zone, settings):
     assert spark.table(strict.table("dwd_review")).count() == 0
 
 
+def test_quality_rules_divert_rows(spark, zone, settings):
+    from dataclasses import replace
+
+    zone.price(g1=10)
+    zone.page(
+        "2024-01-20",
+        1,
+        1,
+        [review("a", "2024-01-20"), review("b", "2024-01-20", text="!!"), review("c", "2024-01-19")],
+    )
+    rules = {"has_text": "clean_content <> ''", "has_author": "author_steamid IS NOT NULL"}
+    checked = replace(settings, quality_rules=rules)
+    run_full(spark, checked, "2024-01-20")
+    assert ids(spark, checked, "dwd_review") == ["a", "c"]
+    assert ids(spark, checked, "quarantine") == ["b"]
+    report = {r.rule: (r.checked_rows, r.failed_rows) for r in spark.table(checked.table("quality")).collect()}
+    assert report == {"has_text": (3, 1), "has_author": (3, 0)}
+
+
 def test_nothing_landed_writes_nothing(spark, zone, settings):
     zone.price(g1=10)
     zone.page("2024-01-20", 1, 1, [review("a", "2024-01-20")])
