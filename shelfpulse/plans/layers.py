@@ -127,6 +127,9 @@ def build_dwd(spark: SparkSession, settings: Settings, window: DayWindow | None)
     if window:
         ods = ods.where(window.holds("dt"))
     dwd = clean_reviews(ods.select(*ODS_REVIEW.names), settings.required)
+    if settings.dedup_keys:
+        newest = [F.desc_nulls_last("timestamp_updated"), F.asc("recommendationid")]
+        dwd = dedup_latest(dwd, settings.dedup_keys, newest)
     # The day follows from the creation time and is not part of the duplicate test.
     dwd = dwd.select(*DWD_REVIEW.names, created_day("timestamp_created").alias("dt"))
     if settings.quality_rules:

@@ -14,7 +14,7 @@ from shelfpulse.queries.standins import (
     AS_OF,
     GAMES_SQL,
     GMV_SQL,
-    SALES_SQL,
+    events,
     games,
     sales,
     table,
@@ -40,21 +40,20 @@ JDBC_URL = "spark.shelfpulse.jdbc.url"
 WEEK = DayWindow.trailing(AS_OF, 7)
 
 
+def partly_dated(spark, sf_dir):
+    """Events as reviews; sign-ups carry no day."""
+    return events(spark, sf_dir).select(
+        "appid",
+        F.col("event_id").cast("string").alias("recommendationid"),
+        "event_type",
+        F.when(F.col("event_type") != "signup", F.col("dt")).alias("dt"),
+    )
+
+
 def stored_sales(spark, sf_dir, label):
-    """Sales as a day-partitioned table; sign-ups carry no day."""
+    """The same as a day-partitioned table."""
     name = f"{scratch_database(spark, label)}.sales"
-    rows = sales(spark, sf_dir).join(
-        table(spark, sf_dir, "events").select(
-            F.col("event_id").cast("string").alias("recommendationid"), "event_type"
-        ),
-        "recommendationid",
-    )
-    day = F.when(F.col("event_type") != "signup", F.col("dt"))
-    replace_table(
-        rows.select("appid", "recommendationid", "event_type", day.alias("dt")),
-        name,
-        partition_by="dt",
-    )
+    replace_table(partly_dated(spark, sf_dir), name, partition_by="dt")
     return name
 
 
@@ -123,14 +122,7 @@ SELECT appid, recommendationid, CAST(dt AS VARCHAR) AS dt FROM stored
 WHERE NOT coalesce(date_diff('day', dt, DATE '{AS_OF}') <= 7, false)
 """)
 def window_delete_rows(spark, sf_dir):
-    rows = sales(spark, sf_dir).join(
-        table(spark, sf_dir, "events").select(
-            F.col("event_id").cast("string").alias("recommendationid"), "event_type"
-        ),
-        "recommendationid",
-    )
-    dated = rows.withColumn("dt", F.when(F.col("event_type") != "signup", F.col("dt")))
-    kept = remaining(dated, age_days("dt", AS_OF) <= 7)
+    kept = remaining(partly_dated(spark, sf_dir), age_days("dt", AS_OF) <= 7)
     return kept.select("appid", "recommendationid", "dt")
 
 
@@ -213,7 +205,8 @@ def jdbc_url(spark):
     configured = spark.conf.get(JDBC_URL, None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {JDBC_URL} to a database that the executors can reach")
     spark.sparkContext._jvm.java.lang.System.setProperty("derby.stream.error.file", "/dev/null")
     return f"jdbc:derby:memory:export{uuid.uuid4().hex[:12]};create=true"

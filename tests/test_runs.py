@@ -174,6 +174,9 @@ def test_cap_and_required_columns(spark, zone, settings):
     capped = replace(settings, cap_per_game=7, export=None)
     run_full(spark, capped, "2024-01-20")
     assert ids(spark, capped, "ods_review") == sorted(str(i) for i in range(7))
+    single = replace(capped, dedup_keys=("appid", "timestamp_created"))
+    layers.build_dwd(spark, single, None)
+    assert ids(spark, single, "dwd_review") == ["0"]
     strict = replace(capped, required=None)
     layers.build_dwd(spark, strict, None)
     assert spark.table(strict.table("dwd_review")).count() == 0
