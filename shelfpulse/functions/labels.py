@@ -19,9 +19,9 @@ DEFAULT_RULES: dict[str, tuple[str, ...]] = {
     "剧情": ("剧情", "故事", "结局", "角色", "台词", "story", "plot"),
     "玩法": ("玩法", "操作", "战斗", "关卡", "难度", "gameplay", "combat"),
     "音效": ("音效", "音乐", "配乐", "配音", "声音", "sound", "music"),
-    "优化": ("优化", "卡顿", "闪退", "掉帧", "丢档", "crash", "bug"),
+    "优化": ("优化", "卡顿", "闪退", "掉帧", "延迟", "crash", "bug"),
     "价格": ("价格", "打折", "便宜", "太贵", "性价比", "price", "discount"),
-    "情怀": ("情怀", "童年", "回忆", "经典", "男神", "nostalgia", "classic"),
+    "情怀": ("情怀", "童年", "回忆", "经典", "怀旧", "nostalgia", "classic"),
 }
 
 

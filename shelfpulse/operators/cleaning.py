@@ -30,9 +30,11 @@ def clean_reviews(
     required: Sequence[str] | None = REQUIRED_REVIEW_COLUMNS,
     label: Callable[[Column | str], Column] = label_by_rules,
 ) -> DataFrame:
-    """Clean, collapse duplicates, drop incomplete rows, label; in this order.
+    """Collapse duplicates, clean, drop incomplete rows, label.
 
-    ``required=None`` asks for a value in every column.
+    The clean text follows from the raw one, so it is added after the shuffle of the
+    duplicate test and not carried through it. ``required=None`` asks for a value in
+    every column.
     """
-    whole = drop_nulls(distinct_rows(add_clean_content(ods)), required)
+    whole = drop_nulls(add_clean_content(distinct_rows(ods)), required)
     return classify(whole, label)

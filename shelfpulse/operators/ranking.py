@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfpulse.operators.joins import join_same
 from shelfpulse.scratch import stage
 
 
@@ -21,15 +22,8 @@ def rank_within(
     """
     levels = df.groupBy(*within, metric).agg(F.count("*").alias("_rows"))
     ahead = Window.partitionBy(*within).orderBy(F.desc_nulls_last(metric))
-    ranked = levels.select(
-        *[F.col(name).alias(f"_{name}") for name in within],
-        F.col(metric).alias("_metric"),
-        _ranks_ahead(ahead, dense, "_rows").alias(into),
-    )
-    same = F.col(metric).eqNullSafe(F.col("_metric"))
-    for name in within:
-        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    return df.join(ranked, same).select(*df.columns, into)
+    ranked = levels.select(*within, metric, _ranks_ahead(ahead, dense, "_rows").alias(into))
+    return join_same(df, ranked, [*within, metric])
 
 
 def rank_all(
@@ -59,12 +53,9 @@ def rank_all(
     ranked = (
         levels.withColumn("_inner", inner)
         .join(offsets, "_slice")
-        .select(
-            F.col(metric).alias("_metric"),
-            (F.col("_before") + F.col("_inner")).cast("bigint").alias(into),
-        )
+        .select(metric, (F.col("_before") + F.col("_inner")).cast("bigint").alias(into))
     )
-    return df.join(ranked, F.col(metric).eqNullSafe(F.col("_metric"))).select(*df.columns, into)
+    return join_same(df, ranked, [metric])
 
 
 def _ranks_ahead(ordered: Window, dense: bool, rows: str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfpulse.functions.dates import created_day, epoch_to_text
 from shelfpulse.functions.text import enabled_keys, join_field, join_list
+from shelfpulse.operators.joins import join_same
 from shelfpulse.operators.rows import conform, successful, with_defaults
 from shelfpulse.schemas import AUTHOR, GAME, ODS_REVIEW, REVIEW
 
@@ -44,14 +45,16 @@ def valid_pages(
     the one it was requested with. The end is found on narrow rows in two steps, within
     blocks of consecutive pages and then across blocks, so that no task has to order all
     pages of a large game. The wide pages are only filtered. A column ``n_reviews``, if
-    there is one, spares the reading of the review lists.
+    there is one, spares the reading of the review lists. A page without a number has no
+    place in the listing and is kept if it has reviews.
     """
     keys = list(keys)
     slot = [*keys, "_slot"]
     count = F.col("n_reviews") if "n_reviews" in pages.columns else F.size("reviews")
     empty = F.coalesce(count, F.lit(0)) <= 0
     steps = (
-        pages.select(
+        pages.where(F.col("page").isNotNull())
+        .select(
             *keys,
             "page",
             F.floor(F.col("page") / block).alias("_slot"),
@@ -83,12 +86,8 @@ def valid_pages(
         .groupBy(*keys)
         .agg(F.min("_end").alias("_end"))
     )
-    return (
-        pages.join(listing_ends, keys, "left")
-        .where(~empty & (F.col("_end").isNull() | (F.col("page") <= F.col("_end"))))
-        .drop("_end")
-        .select(*pages.columns)
-    )
+    beyond = F.coalesce(F.col("page") > F.col("_end"), F.lit(False))
+    return join_same(pages, listing_ends, keys, "left").where(~empty & ~beyond).drop("_end")
 
 
 def flatten_reviews(pages: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
@@ -150,7 +149,7 @@ def latest_crawl(rows: DataFrame) -> DataFrame:
     tagged = rows.withColumn("_day", day)
     owners = tagged.groupBy("appid", "_day").agg(F.max("crawl_dt").alias("_owner"))
     return (
-        tagged.join(owners, ["appid", "_day"])
+        join_same(tagged, owners, ["appid", "_day"])
         .where(F.col("crawl_dt").eqNullSafe(F.col("_owner")))
         .select(*rows.columns)
     )

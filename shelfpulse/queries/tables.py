@@ -182,18 +182,19 @@ def gmv_insert_overwrite(spark, sf_dir):
     replace_table(games(spark, sf_dir), dim)
     statement = f"""
         INSERT OVERWRITE TABLE {name}
-        WITH t AS (
-            SELECT a.appid, b.price_final_cny, date(a.created_date) AS dt
-            FROM {fact} a JOIN {dim} b ON a.appid = b.appid
-            WHERE a.steam_purchase = TRUE
+        WITH sold AS (
+            SELECT appid, left(created_date, 10) AS day, count(*) AS copies
+            FROM {fact} WHERE steam_purchase GROUP BY ALL
+        ),
+        amounts AS (
+            SELECT sold.*, copies * price_final_cny AS amount FROM sold JOIN {dim} USING (appid)
         )
-        SELECT CAST(appid AS STRING), CAST(dt AS STRING),
-               CAST(sum(price_final_cny) AS DECIMAL(18, 4)), count(*) AS add_review_num
-        FROM t GROUP BY appid, dt
+        SELECT CAST(appid AS STRING), day, CAST(sum(amount) AS DECIMAL(18, 4)), sum(copies)
+        FROM amounts GROUP BY appid, day
     """
     # The second run replaces the first.
-    overwrite_from_sql(spark, statement)
-    overwrite_from_sql(spark, statement)
+    overwrite_from_sql(spark, statement, partitioned=False)
+    overwrite_from_sql(spark, statement, partitioned=False)
     return read_table(spark, name)
 
 

@@ -135,6 +135,7 @@ OVERVIEW = T.StructType(DWD_REVIEW.fields + struct(price_final_cny=LONG).fields)
 
 GMV = struct(appid=STRING, dt=STRING, gmv=MONEY, add_review_num=LONG)
 
+# The column comments of the table.
 GMV_COMMENTS = {
     "appid": "游戏id",
     "dt": "日期",

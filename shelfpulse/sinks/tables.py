@@ -11,11 +11,12 @@ from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager, nullcontext
 
 from py4j.protocol import Py4JError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfpulse.functions.dates import DayWindow
+from shelfpulse.operators.joins import join_same
 from shelfpulse.scratch import stage
 from shelfpulse.sinks.export import write_csv_backup
 
@@ -200,7 +201,7 @@ def refresh_window(
     replacement = inside
     if keys:
         refreshed = inside.select(*keys).distinct()
-        kept = stored.where(window.holds(day)).join(refreshed, list(keys), "left_anti")
+        kept = join_same(stored.where(window.holds(day)), refreshed, keys, "left_anti")
         replacement = kept.select(*stored.columns).unionByName(inside)
 
     if fmt == ICEBERG:
@@ -213,16 +214,7 @@ def refresh_window(
     undated = new.where(F.col(day).isNull()).select(*stored.columns)
     if not undated.isEmpty():
         known = stored.where(F.col(day).isNull()).select(*row_key)
-        append_table(_unknown(undated, known, row_key), name, fmt=fmt)
-
-
-def _unknown(rows: DataFrame, known: DataFrame, row_key: Sequence[str]) -> DataFrame:
-    names = {key: f"_known_{key}" for key in row_key}
-    other = known.withColumnsRenamed(names).distinct()
-    same: Column = F.lit(True)
-    for key, renamed in names.items():
-        same = same & F.col(key).eqNullSafe(F.col(renamed))
-    return rows.join(other, same, "left_anti")
+        append_table(join_same(undated, known, row_key, "left_anti"), name, fmt=fmt)
 
 
 def _overwrite_days(

@@ -149,6 +149,9 @@ def test_paging_stops(spark, block):
             (5, 1, "a", None), (5, 2, "b", full),
             # nothing stops
             (6, 1, "a", full), (6, 2, "b", full), (6, 3, "c", full),
+            # pages without a number, a listing without a game
+            (8, None, "a", full), (8, 1, "*", full), (8, 2, "b", full),
+            (None, 1, "a", full), (None, 2, "a", full), (None, 3, "b", full),
             # a page landed twice is one step
             (7, 1, "a", full), (7, 1, "a", full), (7, 2, "b", full),
         ],
@@ -156,8 +159,8 @@ def test_paging_stops(spark, block):
     )
     kept = values(valid_pages(pages, block=block).orderBy("appid", "page"), "appid", "page")
     assert kept == [
-        (1, 1), (1, 2), (2, 1), (2, 2), (3, 1), (4, 1), (6, 1), (6, 2), (6, 3),
-        (7, 1), (7, 1), (7, 2),
+        (None, 1), (None, 2), (1, 1), (1, 2), (2, 1), (2, 2), (3, 1), (4, 1), (6, 1), (6, 2), (6, 3),
+        (7, 1), (7, 1), (7, 2), (8, None), (8, 1),
     ]
 
 
@@ -170,11 +173,13 @@ def test_last_crawl_of_a_day_wins(spark):
             ("2024-01-01", 1, "d", "2023-12-31"),
             ("2024-01-01", 2, "e", None),
             ("2024-01-02", 2, None, None),
+            ("2024-01-01", None, "f", "2024-01-01"),
+            ("2024-01-02", None, "g", "2024-01-01"),
         ],
         "crawl_dt STRING, appid LONG, id STRING, dt STRING",
     ).withColumns({"crawl_dt": F.to_date("crawl_dt"), "dt": F.to_date("dt")})
     kept = latest_crawl(crawled)
-    assert sorted(values(kept, "id"), key=str) == [("b",), ("c",), ("d",), (None,)]
+    assert sorted(values(kept, "id"), key=str) == [("b",), ("c",), ("d",), ("g",), (None,)]
 
 
 def test_query_summary_defaults(spark, tmp_path):

@@ -109,6 +109,14 @@ def test_refresh_replaces_the_window_of_refreshed_games_only(spark, stored):
     assert content(spark, stored) == expected
 
 
+def test_refresh_of_rows_without_a_game(spark, stored):
+    staged = stage(frame(spark, [(None, "n", "2024-01-30")]), "new")
+    for _ in range(2):
+        refresh_window(staged, stored, WEEK, keys=["appid"])
+    expected = [(a, r, str(d)) for a, r, d in OLD] + [(None, "n", "2024-01-30")]
+    assert content(spark, stored) == sorted(expected, key=str)
+
+
 def test_refresh_without_keys_replaces_the_whole_window(spark, stored):
     refresh_window(stage(frame(spark, [(3, "n", "2024-01-30")]), "new"), stored, WEEK)
     assert content(spark, stored) == sorted(
