@@ -11,6 +11,7 @@ import pytest
 
 from shelfpulse.__main__ import parser, settings_from
 from shelfpulse.plans import backfill, layers, run_daily, run_full
+from shelfpulse.plans.runs import take_in
 from shelfpulse.scratch import scratch_path
 from shelfpulse.settings import JdbcTarget, Settings
 from shelfpulse.streaming import ingest_new
@@ -142,12 +143,12 @@ def test_first_load_then_daily(spark, zone, settings):
 
 
 def test_crawl_that_lands_in_two_parts(spark, zone, settings):
-    zone.price(g1=10)
+    day = dt.date(2024, 1, 20)
     zone.page("2024-01-20", 1, 1, [review("a", "2024-01-20")])
-    run_daily(spark, settings, "2024-01-20")
+    take_in(spark, settings, day)
     assert ids(spark, settings, "ods_review") == ["a"]
     zone.page("2024-01-20", 1, 2, [review("b", "2024-01-20"), review("c", "2024-01-14")])
-    run_daily(spark, settings, "2024-01-20")
+    take_in(spark, settings, day)
     assert ids(spark, settings, "ods_review") == ["a", "b", "c"]
 
 
@@ -155,7 +156,7 @@ def test_backfill(spark, zone, settings):
     zone.price(g1=10)
     for crawl in ("2024-01-05", "2024-01-15", "2024-01-25"):
         zone.page(crawl, 1, 1, [review(f"r{crawl[-2:]}", crawl)])
-        run_daily(spark, settings, crawl)
+    run_full(spark, settings, "2024-01-25")
     before = gmv(spark, settings)
     assert len(before) == 3
     for role in ("ods_review", "dwd_review", "trend"):
