@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfpulse.functions.dates import DayWindow, age_days
 from shelfpulse.operators import metrics
-from shelfpulse.operators.rows import remaining
+from shelfpulse.operators.rows import discounted, remaining
 from shelfpulse.queries.registry import query
 from shelfpulse.queries.standins import (
     AS_OF,
@@ -131,7 +131,7 @@ WITH {STORED_SQL},
 incoming AS (
     SELECT appid, 'new' || recommendationid AS recommendationid, event_type, dt FROM stored
     WHERE event_type IN ('purchase', 'signup') AND (dt IS NULL OR dt >= DATE '2024-01-23')
-          AND (appid < 50 OR dt IS NULL)
+          AND (appid IN (SELECT p_partkey FROM part WHERE p_size > 25) OR dt IS NULL)
 ),
 refreshed AS (SELECT DISTINCT appid FROM incoming WHERE dt IS NOT NULL)
 SELECT appid, recommendationid, event_type, CAST(dt AS VARCHAR) AS dt FROM stored
@@ -141,14 +141,13 @@ SELECT appid, recommendationid, event_type, CAST(dt AS VARCHAR) FROM incoming
 """)
 def window_refresh(spark, sf_dir):
     name = stored_sales(spark, sf_dir, "refreshed")
-    stored = spark.table(name)
-    day = F.col("dt")
-    incoming = (
-        stored.where(F.col("event_type").isin("purchase", "signup"))
-        .where(day.isNull() | (WEEK.holds("dt") & (F.col("appid") < 50)))
-        .withColumn("recommendationid", F.concat(F.lit("new"), "recommendationid"))
-    )
-    staged = stage(incoming, "incoming")
+    fetched = spark.table(name).where(F.col("event_type").isin("purchase", "signup"))
+    # Only games on sale were crawled again; all others keep their days.
+    on_sale = discounted(games(spark, sf_dir)).select("appid")
+    dated = fetched.where(WEEK.holds("dt")).join(on_sale, "appid", "left_semi")
+    incoming = dated.unionByName(fetched.where(F.col("dt").isNull()))
+    renamed = F.concat(F.lit("new"), "recommendationid")
+    staged = stage(incoming.withColumn("recommendationid", renamed), "incoming")
     refresh_window(staged, name, WEEK, keys=["appid"])
     # A second run must change nothing.
     refresh_window(staged, name, WEEK, keys=["appid"])
