@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +15,29 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the tasks this package, as ``--py-files`` does, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    # The driver serves the file to executors from here for as long as it runs.
+    folder = tempfile.mkdtemp(prefix="ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    name = f"{folder}/{os.path.basename(package)}.zip"
+    with zipfile.ZipFile(name, "w") as out:
+        for place, _, files in os.walk(package):
+            for file in files:
+                if file.endswith(".py"):
+                    full = os.path.join(place, file)
+                    out.write(full, os.path.relpath(full, os.path.dirname(package)))
+    context.addPyFile(name)
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfpulse.llm.common import ship
+
 # --- The cutter ------------------------------------------------------------------------
 # The published pre-tokenization pattern of the tokenizer,
 #   's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
@@ -421,6 +423,7 @@ def with_token_counts(
                 }
             )
 
+    ship(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     sent = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
