@@ -17,9 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfpulse.llm.blocks import in_blocks
 from shelfpulse.llm.common import ship
 from shelfpulse.llm.components import components
 from shelfpulse.llm.words import mix, numbers, shingle_sets
@@ -250,19 +251,8 @@ def _block_links(
         .select("bucket", "sides"),
         "minhash-open",
     )
-    dealt = rooted.join(open_buckets, "bucket").withColumn(
-        "side", F.pmod(F.xxhash64("set_id"), F.col("sides")).cast("int")
-    )
-    other = F.explode(F.sequence(F.lit(0), F.col("sides") - 1))
-    blocks = dealt.select("bucket", "set_id", "root", "side", other.alias("other")).select(
-        "bucket",
-        "set_id",
-        "root",
-        F.least("side", "other").alias("low"),
-        F.greatest("side", "other").alias("high"),
-        "side",
-    )
-    blocks = stage(blocks, "minhash-blocks")
+    blocks = in_blocks(rooted.join(open_buckets, "bucket"), "bucket", "set_id")
+    blocks = stage(blocks.drop("n"), "minhash-blocks")
     full = blocks.join(sets, "set_id")
 
     def joined(frame: pd.DataFrame) -> pd.DataFrame:
