@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfpulse.llm import queries_caps, queries_chat, queries_decontaminate, queries_minhash, queries_mix, queries_shard, queries_tokens, queries_warc
+from shelfpulse.llm import queries_caps, queries_chat, queries_decontaminate, queries_language, queries_minhash, queries_mix, queries_shard, queries_tokens, queries_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 LLM_QUERIES: dict[str, Query] = {}
 LLM_ORACLES: dict[str, str] = {}
 
-for module in (queries_tokens, queries_minhash, queries_warc, queries_decontaminate, queries_caps, queries_shard, queries_chat, queries_mix):
+for module in (queries_language, queries_tokens, queries_minhash, queries_warc, queries_decontaminate, queries_caps, queries_shard, queries_chat, queries_mix):
     LLM_QUERIES.update(module.QUERIES)
     LLM_ORACLES.update(module.ORACLES)
