@@ -40,6 +40,13 @@ def _byte_values() -> np.ndarray:
     return values
 
 
+@lru_cache(maxsize=1)
+def _lower() -> np.ndarray:
+    low = np.arange(256, dtype=np.uint8)
+    low[ord("A") : ord("Z") + 1] += 32
+    return low
+
+
 @lru_cache(maxsize=1)
 def _is_word() -> np.ndarray:
     inside = np.ones(256, bool)
@@ -60,14 +67,17 @@ def _power_table(n: int) -> np.ndarray:
     return _powers
 
 
-def _hash_slice(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of one slice, and where they begin."""
+def _hash_slice(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of one slice, where they begin, and their last two bytes."""
     inside = _is_word()[data]
     edge = np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0))
     begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(begin):
-        return np.zeros(0, np.uint64), begin
+        return np.zeros(0, np.uint64), begin, np.zeros(0, np.int64)
     size = end - begin
+    low = _lower()
+    suffix = low[data[end - 1]].astype(np.int64)
+    suffix += np.where(size > 1, low[data[np.maximum(end - 2, 0)]].astype(np.int64) << 8, 0)
     power = _power_table(int(size.max()))
     # White space has value 0, so what lies between two words does not matter.
     data = data[begin[0] :]
@@ -77,11 +87,14 @@ def _hash_slice(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     values = _byte_values()[data]
     values *= power[inner]
     total = np.add.reduceat(values, heads)
-    return mix(total + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), begin
+    return mix(total + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), begin, suffix
 
 
-def word_hashes(texts: Sequence[bytes]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
-    """Groups of texts: their positions, all their word hashes, and offsets into these."""
+def word_hashes(
+    texts: Sequence[bytes],
+) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
+    """Groups of texts: their positions, all their word hashes, offsets into these, and the
+    last two bytes of each word as a number."""
     held: list[int] = []
     size = 0
     for i, text in enumerate(texts):
@@ -89,8 +102,8 @@ def word_hashes(texts: Sequence[bytes]) -> Iterator[tuple[list[int], np.ndarray,
             if held:
                 yield _together(texts, held)
                 held, size = [], 0
-            hashes = _long(text)
-            yield [i], hashes, np.array([0, len(hashes)])
+            hashes, suffixes = _long(text)
+            yield [i], hashes, np.array([0, len(hashes)]), suffixes
             continue
         held.append(i)
         size += len(text) + 1
@@ -103,12 +116,12 @@ def word_hashes(texts: Sequence[bytes]) -> Iterator[tuple[list[int], np.ndarray,
 
 def _together(texts: Sequence[bytes], held: list[int]):
     data = np.frombuffer(b"\n".join([*(texts[i] for i in held), b""]), np.uint8)
-    hashes, begin = _hash_slice(data)
+    hashes, begin, suffixes = _hash_slice(data)
     heads = np.cumsum([0, *(len(texts[i]) + 1 for i in held)])
-    return held, hashes, np.searchsorted(begin, heads)
+    return held, hashes, np.searchsorted(begin, heads), suffixes
 
 
-def _long(text: bytes) -> np.ndarray:
+def _long(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of one long text, slice by slice; a word on an edge goes to the next slice."""
     out, at = [], 0
     data = np.frombuffer(text, np.uint8)
@@ -121,9 +134,10 @@ def _long(text: bytes) -> np.ndarray:
             else:  # one word fills the slice: go on to its end
                 spaces = np.flatnonzero(~_is_word()[data[end:]])
                 end = end + int(spaces[0]) + 1 if len(spaces) else len(data)
-        out.append(_hash_slice(data[at:end])[0])
+        hashes, _, suffixes = _hash_slice(data[at:end])
+        out.append((hashes, suffixes))
         at = end
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+    return np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
 
 
 def shingle_sets(texts: Sequence[bytes], width: int) -> Iterator[tuple[list[int], list[np.ndarray]]]:
@@ -133,7 +147,7 @@ def shingle_sets(texts: Sequence[bytes], width: int) -> Iterator[tuple[list[int]
     words has none.
     """
     factors = numbers(width, 7)
-    for held, hashes, offsets in word_hashes(texts):
+    for held, hashes, offsets, _ in word_hashes(texts):
         n = len(hashes)
         total = np.zeros(max(0, n - width + 1), np.uint64)
         for j in range(width):
