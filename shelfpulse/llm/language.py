@@ -294,3 +294,19 @@ def with_language(
         .withColumn("score", F.col("said__.score"))
         .drop("said__")
     )
+
+
+#: A text whose best language has a smaller mean probability is in none that was learned.
+LEAST_SCORE = 0.3
+
+
+def in_known_language(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` whose text is in a learned language, with their columns only.
+
+    Texts that are null or have no letter go, and those with a score below ``least_score``.
+    If no row is labelled, no language is known and no row stays.
+    """
+    names = docs.columns
+    told = with_language(docs)
+    keep = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)
+    return told.where(keep).select(*names)

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfpulse.llm.blocks import in_blocks
@@ -61,6 +61,7 @@ def _with_signatures(docs: DataFrame, width: int, bands: int) -> DataFrame:
     def signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             texts, ids = frame["t"].tolist(), frame["doc_id"].to_numpy(object)
+            hashes = frame["text_hash"].to_numpy()
             for held, sets in shingle_sets(texts, width):
                 full = [j for j, s in enumerate(sets) if len(s)]
                 rows = np.zeros((0, bands), np.uint64)
@@ -72,13 +73,14 @@ def _with_signatures(docs: DataFrame, width: int, bands: int) -> DataFrame:
                 yield pd.DataFrame(
                     {
                         "doc_id": ids[held],
+                        "text_hash": hashes[held],
                         "n_shingles": [len(s) for s in sets],
                         "set_id": [set_id(s) if len(s) else None for s in sets],
                         "bands": by_set,
                     }
                 )
 
-    schema = "doc_id string, n_shingles long, set_id binary, bands array<long>"
+    schema = "doc_id string, text_hash long, n_shingles long, set_id binary, bands array<long>"
     return docs.mapInPandas(signed, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -102,7 +104,7 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each row.
+    """doc_id, n_shingles, component_id, kept and text_hash for each row.
 
     Texts are lower-cased in A-Z; a document's set holds its distinct shingles of ``width``
     words, or its whole sequence if it has fewer. Two documents are linked if the
@@ -117,6 +119,7 @@ def near_duplicates(
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"),
+        F.xxhash64(F.col(text_col)).alias("text_hash"),
     )
     sent = texts.withColumn("doc_id", F.col("doc_id").cast("string"))
     rows = stage(_with_signatures(sent, width, bands), "minhash-rows")
@@ -143,13 +146,42 @@ def near_duplicates(
     labels = stage(labels, "minhash-labels")
     named = labels.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = stage(labels.join(named, "root").select("set_id", "component_id"), "minhash-named")
-    out = rows.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
+    out = rows.select("doc_id", "n_shingles", "set_id", "text_hash").join(named, "set_id", "left")
     component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
+        "text_hash",
+    )
+
+
+def without_near_duplicates(
+    docs: DataFrame,
+    width: int = 5,
+    least: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row of each component of ``near_duplicates``, with all columns of ``docs``.
+
+    It is the row whose id names the component. Texts without words are linked with nothing
+    and all stay; rows that repeat id and text give one row. Of a component whose rows all
+    lack an id, the rows of each different text give one.
+    """
+    found = near_duplicates(docs, width, least, BANDS, id_col, text_col)
+    kept = found.where("kept").select(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"))
+    kept = kept.distinct()
+    number, digest = F.col(id_col).cast("long"), F.xxhash64(F.col(text_col))
+    of_row = Window.partitionBy("id__", "hash__").orderBy("id__")
+    return (
+        docs.withColumn("id__", number)
+        .withColumn("hash__", digest)
+        .join(kept, F.col("id__").eqNullSafe(F.col("k_id")) & (F.col("hash__") == F.col("k_hash")))
+        .withColumn("copy__", F.row_number().over(of_row))
+        .where("copy__ = 1")
+        .select(*docs.columns)
     )
 
 

@@ -36,8 +36,8 @@ def mix(
     taken in rank order until their words reach what the target leaves; the one on the edge
     goes in if that brings the words nearer to the target.
 
-    Returns doc_id, size, source, source_size, target, copies and taken, a row for each
-    input row. u depends on the seed, the id and the number of a repeated id, so reruns
+    Returns doc_id, size, source, repeat, source_size, target, copies and taken, a row for
+    each input row; repeat numbers the rows of one id and source by size. u depends on the seed, the id and the number of a repeated id, so reruns
     agree. Null and empty texts have size 0 and are taken 0 words. A null source is a
     source of its own. An empty table gives an empty result. Other columns are not read.
     """
@@ -49,15 +49,44 @@ def mix(
         ),
         "mix-sized",
     )
-    targets = _targets(sized, weights, most_copies)
-    ranked = _ranked(sized.join(_size_checked(targets), F.col("source").eqNullSafe(F.col("t_source"))), seed)
-    ranked = stage(ranked, "mix-ranked")
-    return _taken(ranked)
+    targets = _targets(sized, weights, most_copies).withColumnRenamed("source", "t_source")
+    # Spark broadcasts the targets if they are below its threshold, and only then.
+    met = sized.join(targets, F.col("source").eqNullSafe(F.col("t_source")))
+    return _taken(stage(_ranked(met, seed), "mix-ranked"))
 
 
-def _size_checked(targets: DataFrame) -> DataFrame:
-    """Leaves the choice of the join to Spark: it broadcasts below its threshold only."""
-    return targets.withColumnRenamed("source", "t_source")
+def mixed(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    **options,
+) -> DataFrame:
+    """The rows of ``docs`` as the mix takes them: none, once or several times.
+
+    All columns stay as they are. Rows of one id and source are told apart by their size;
+    of equal ones it does not matter which is taken.
+    """
+    plan = mix(docs, id_col, text_col, source_col, **options).where("copies > 0")
+    plan = plan.select(
+        F.col("doc_id").alias("m_id"),
+        F.col("source").alias("m_source"),
+        F.col("repeat").alias("m_repeat"),
+        "copies",
+    )
+    of_id = Window.partitionBy(F.col(id_col).cast("long"), F.col(source_col).cast("string"))
+    numbered = docs.withColumn(
+        "m_repeat__", F.row_number().over(of_id.orderBy(word_count(F.col(text_col))))
+    )
+    met = numbered.join(
+        plan,
+        F.col(id_col).cast("long").eqNullSafe(F.col("m_id"))
+        & F.col(source_col).cast("string").eqNullSafe(F.col("m_source"))
+        & (F.col("m_repeat__") == F.col("m_repeat")),
+    )
+    return met.withColumn("copy__", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
+        *docs.columns
+    )
 
 
 def _targets(sized: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
@@ -173,6 +202,7 @@ def _taken(ranked: DataFrame) -> DataFrame:
             "doc_id",
             "size",
             "source",
+            "repeat",
             "source_size",
             "target",
             "copies",

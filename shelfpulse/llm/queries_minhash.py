@@ -9,7 +9,8 @@ from shelfpulse.llm.minhash import near_duplicates
 
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), width=3, least=85)
+    found = near_duplicates(table(spark, sf_dir, "documents"), width=3, least=85)
+    return found.drop("text_hash")
 
 
 QUERIES = {"op3_minhash_dedup": op3_minhash_dedup}
