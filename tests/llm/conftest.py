@@ -1,0 +1,44 @@
+"""Small tables with the rows that tend to go wrong."""
+
+from __future__ import annotations
+
+import pytest
+
+DOCS = (
+    "doc_id long, text string, lang string, source string, n_chars long, "
+    "size long, shard int, score double"
+)
+LONG = "wort und noch ein anderes " * 40_000
+
+
+def doc(doc_id, text, lang="en", source="a"):
+    return (doc_id, text, lang, source, None if text is None else len(text), 7, 7, 7.0)
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Nulls in every column, empty, blank and long texts, repeated rows, clashing names."""
+    base = [f"w{i}" for i in range(40)]
+    rows = [
+        doc(1, " ".join(base)),
+        doc(2, " ".join(base)),
+        doc(3, " ".join([*base[:39], "other"]), source=None),
+        doc(4, None),
+        doc(4, None),
+        doc(5, "", source="b"),
+        doc(6, " \t\n", source="b"),
+        doc(None, "no id at all here", source="b"),
+        doc(None, "no id at all here", source="b"),
+        doc(7, "Two words", None, None),
+        doc(8, "two WORDS", "de", "c"),
+        doc(9, LONG, "de", "c"),
+        doc(10, "12 34 --", "de", "c"),
+        doc(11, "éé 日本 \x00 x", "fr", "c"),
+        doc(11, "éé 日本 \x00 x", "fr", "c"),
+    ]
+    return spark.createDataFrame(rows, DOCS)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], DOCS)
