@@ -33,6 +33,7 @@ ROTATIONS, FILTERS = 5, 20
 PER_FILTER = 64
 #: Vectors on one side of a block.
 SIDE = 1024
+LEAST_DIMS = 64
 SEED = 20
 
 
@@ -43,15 +44,20 @@ class Caps:
         rng = np.random.default_rng([SEED, dims, codewords])
         unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
         self.codewords = codewords
-        self.half = (dims + 1) // 2
-        self.turns = [np.linalg.qr(rng.normal(size=(dims, dims)))[0] for _ in range(ROTATIONS)]
+        # Short vectors are turned into a space of more dimensions, in which inner products
+        # with random directions spread alike whatever the vector.
+        space = max(dims + dims % 2, LEAST_DIMS)
+        self.half = space // 2
+        self.turns = [
+            np.linalg.qr(rng.normal(size=(space, space)))[0][:dims] for _ in range(ROTATIONS)
+        ]
         self.books = [
-            [unit(rng.normal(size=(codewords, max(1, n)))) for n in (self.half, dims - self.half)]
+            [unit(rng.normal(size=(codewords, self.half))) for _ in range(2)]
             for _ in range(ROTATIONS)
         ]
-        # An inner product with a random filter is close to normal, with variance 2 / dims.
+        # An inner product with a random filter is close to normal, with variance 2 / space.
         share = min(0.5, FILTERS / codewords**2)
-        self.least = (2 / dims) ** 0.5 * NormalDist().inv_cdf(1 - share)
+        self.least = (2 / space) ** 0.5 * NormalDist().inv_cdf(1 - share)
 
     def decode(self, units: np.ndarray) -> list[np.ndarray]:
         """For each unit vector all filters it exceeds, as sorted numbers."""
@@ -60,8 +66,7 @@ class Caps:
         for r, (turn, (first, second)) in enumerate(zip(self.turns, self.books, strict=True)):
             x = units @ turn
             a = x[:, : self.half] @ first.T
-            rest = x[:, self.half :]
-            b = rest @ second.T if rest.shape[1] else np.zeros((n, size))
+            b = x[:, self.half :] @ second.T
             row, i = np.nonzero(a + b.max(axis=1, keepdims=True) >= self.least)
             for part in np.array_split(np.arange(len(row)), max(1, len(row) * size // (1 << 22))):
                 at, j = np.nonzero(b[row[part]] >= (self.least - a[row[part], i[part]])[:, None])

@@ -153,14 +153,14 @@ class Network:
 
     def label_positions(self, texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray]]:
         """(text, first byte, probabilities by byte and language) of each window, whole texts."""
+        text = begin = 0
         for owner, sizes, data in _windows(texts):
             p = self.probabilities(data)
-            seen: dict[int, int] = {}
             for lane, (i, size) in enumerate(zip(owner.tolist(), sizes.tolist(), strict=True)):
-                if i not in seen:
-                    seen[i] = 0
-                yield i, seen[i], p[:size, :, lane]
-                seen[i] += size
+                begin = begin if i == text else 0
+                text = i
+                yield i, begin, p[:size, :, lane]
+                begin += size
 
     def pooled(self, texts: list[bytes]) -> np.ndarray:
         """Mean probabilities over the bytes of each text; none where a text is empty."""

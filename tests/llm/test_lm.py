@@ -1,0 +1,84 @@
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+
+from shelfpulse.llm import lm
+from shelfpulse.llm.lm import _features, _softmax, _train, scores
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOW = str.maketrans({c: chr(c + 32) for c in range(65, 91)})
+
+
+def check(df):
+    """All but the model's score against plain counting."""
+    rows = scores(df).collect()
+    given = [(r["doc_id"], WORD.findall((r["text"] or "").translate(LOW)) + ["</end>"]) for r in df.collect()]
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
+    counts = Counter(w for i, words in given if not held(i) for w in words)
+    n = sum(counts.values())
+    base = math.log10(n + 0.5 * (len(counts) + 1))
+    expected = sorted(
+        (str(i), held(i), len(words), sum(w in counts for w in words), n,
+         round(sum(math.log10(counts[w] + 0.5) - base for w in words), 6)) for i, words in given
+    )
+    got = sorted(
+        (str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"],
+         round(r["base_score"], 6)) for r in rows
+    )
+    assert [x[:5] for x in got] == [x[:5] for x in expected]
+    assert np.allclose([x[5] for x in got], [x[5] for x in expected], atol=1e-5)
+    assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in rows)
+    return rows
+
+
+def test_documents(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = check(docs)
+    unseen = [r for r in rows if r["held_out"]]
+    assert sum(r["score"] for r in unseen) > sum(r["base_score"] for r in unseen)
+
+
+def test_words_beyond_the_head_meet_their_counts(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(lm, "HEAD", 50)
+    check(spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60))
+
+
+def test_odd_rows(odd_docs, no_docs):
+    check(odd_docs)
+    assert scores(no_docs).count() == 0
+
+
+def test_classes_and_words_sum_to_one(spark, sf_dir):
+    """Over all known words, and unknown words of each class, a context's probabilities."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(30)
+    texts = docs.selectExpr("cast(text as binary) AS t")
+    counts = lm._counted(texts).toPandas()
+    vocabulary = lm._vocabulary(spark.createDataFrame(counts))
+    kind = vocabulary.tokens(counts["hash"].to_numpy().view(np.uint64), counts["suffix"].to_numpy())[2]
+    mass = np.bincount(kind, counts["c"] + 0.5, minlength=lm.CLASSES)
+    mass[lm.CLASS_WORDS :] += 0.5
+    assert np.allclose(mass, 10**vocabulary.log_class, rtol=1e-6)
+
+
+def test_features_stay_inside_a_text():
+    offsets = np.array([0, 3, 4])
+    features = _features(np.array([5, 6, 7, 8]), offsets)
+    none = lm.WORD_ROWS - 1
+    assert features[0].tolist() == [none, 5, 6, none]
+    assert (features[1] - lm.WORD_ROWS).tolist() == [none, none, 5, none]
+    assert features[3][0] == features[3][3] != features[3][2]
+
+
+def test_training_lowers_the_loss():
+    rng = np.random.default_rng(0)
+    before = rng.integers(0, 40, 20_000)
+    features = np.stack([before + k * lm.WORD_ROWS for k in range(lm.BEFORE)] + [before + lm.BEFORE * lm.WORD_ROWS])
+    kinds = (before * 7) % lm.CLASSES
+    weights, bias = np.zeros((lm.ROWS, lm.CLASSES), np.float32), np.zeros(lm.CLASSES, np.float32)
+    assert _train(weights, bias, [(features, kinds)] * 3) == 60_000
+    p = _softmax(weights, bias, features[:, :500])
+    assert np.allclose(p.sum(axis=1), 1, atol=1e-4)
+    assert np.log(p[np.arange(500), kinds[:500]]).mean() > -1
