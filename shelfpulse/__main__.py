@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import argparse
+import json
 import os
+from decimal import Decimal
 
 from shelfpulse.plans import backfill, run_daily, run_full
 from shelfpulse.session import build_session
-from shelfpulse.settings import JdbcTarget, Settings
+from shelfpulse.settings import REQUIRED_REVIEW_COLUMNS, JdbcTarget, Settings
 
 PASSWORD_VARIABLE = "SHELFPULSE_JDBC_PASSWORD"
 
@@ -20,7 +22,14 @@ def parser() -> argparse.ArgumentParser:
     common.add_argument("--namespace", default="default", help="catalog and database of the tables")
     common.add_argument("--format", default="parquet", choices=["parquet", "iceberg"])
     common.add_argument("--time-zone", default="UTC")
-    common.add_argument("--cap", type=int, help="reviews per game and crawl")
+    common.add_argument("--refresh-days", type=int, default=7, help="days that a crawl refetches")
+    common.add_argument("--rank-days", type=int, default=7, help="days that the rankings look back")
+    common.add_argument("--price-scale", type=Decimal, default=1, help="factor of all prices")
+    common.add_argument("--min-reviews", type=int, default=1, help="reviews that a rated game needs")
+    common.add_argument("--dedup-keys", nargs="+", help="keep one review for each key")
+    common.add_argument("--required", nargs="+", help="columns without which a review goes")
+    common.add_argument("--rules", help="JSON file: name and SQL condition of each quality rule")
+    common.add_argument("--label-rules", help="JSON file: label and its words")
     common.add_argument("--csv-backup", help="folder for the game list if its table fails")
     common.add_argument("--jdbc-url")
     common.add_argument("--jdbc-user")
@@ -57,12 +66,26 @@ def settings_from(args: argparse.Namespace) -> Settings:
         checkpoint=args.checkpoint,
         namespace=args.namespace,
         table_format=args.format,
-        cap_per_game=args.cap,
+        refresh_days=args.refresh_days,
+        rank_days=args.rank_days,
+        price_scale=args.price_scale,
+        min_reviews=args.min_reviews,
+        dedup_keys=args.dedup_keys,
+        required=args.required or REQUIRED_REVIEW_COLUMNS,
+        quality_rules=_json(args.rules) or {},
+        label_rules=_json(args.label_rules),
         csv_backup=args.csv_backup,
         export=export,
     )
 
 
+def _json(path: str | None) -> dict | None:
+    if path is None:
+        return None
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     settings = settings_from(args)

@@ -16,17 +16,24 @@ def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+# Seconds of the years 1 to 9999; what lies beyond is no date of a review.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
 def _instant(seconds: Column | str) -> Column:
-    return F.timestamp_seconds(F.nullif(_col(seconds), F.lit(0)))
+    given = _col(seconds)
+    return F.timestamp_seconds(
+        F.when((given != 0) & given.between(FIRST_SECOND, LAST_SECOND), given)
+    )
 
 
 def epoch_to_text(seconds: Column | str) -> Column:
-    """Epoch seconds as text in the session time zone; null and 0 give null."""
+    """Epoch seconds as text in the session time zone; null, 0 and what is no date give null."""
     return F.date_format(_instant(seconds), TEXT_TIME)
 
 
 def created_day(seconds: Column | str) -> Column:
-    """Day of an epoch in the session time zone; null and 0 give null."""
+    """Day of an epoch in the session time zone; null, 0 and what is no date give null."""
     return F.to_date(_instant(seconds))
 
 
@@ -76,3 +83,17 @@ class DayWindow:
 
     def includes(self, day: dt.date) -> bool:
         return self.first <= day and (self.last is None or day <= self.last)
+
+
+@dataclass(frozen=True)
+class Days:
+    """Single days, which need not follow each other; no more than the calendar has."""
+
+    days: frozenset[dt.date]
+
+    def holds(self, day: Column | str) -> Column:
+        """A list of values, so that it prunes partitions."""
+        return _col(day).isin(sorted(self.days)) if self.days else F.lit(False)
+
+    def includes(self, day: dt.date) -> bool:
+        return day in self.days

@@ -35,7 +35,7 @@ def label_by_rules(
     labels: Sequence[str] = CATEGORIES,
     fallback: str = FALLBACK,
 ) -> Column:
-    """The label with the most distinct words found in ``text``.
+    """The label with the most distinct words found in ``text``, whatever their case.
 
     Ties go to the earlier label, no hit gives ``fallback``. The rules become one
     expression over the row, so labelling needs neither a join nor a shuffle.
@@ -44,10 +44,10 @@ def label_by_rules(
     unknown = set(rules) - set(labels)
     if unknown:
         raise ValueError(f"rules for labels outside the set: {sorted(unknown)}")
-    column = _col(text)
+    column = F.lower(_col(text))
     scored = []
     for label in labels:
-        words = list(dict.fromkeys(rules.get(label, ())))
+        words = list(dict.fromkeys(word.lower() for word in rules.get(label, ())))
         if words:
             hits = [F.contains(column, F.lit(word)).cast("int") for word in words]
             scored.append((label, F.coalesce(reduce(lambda a, b: a + b, hits), F.lit(0))))

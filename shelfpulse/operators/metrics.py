@@ -61,9 +61,9 @@ def daily_gmv(
 def daily_buyers(dwd: DataFrame, *, approximate: bool = False) -> DataFrame:
     """Distinct buyers per game and day."""
     buyers: Column = (
-        F.approx_count_distinct("author_steamid")
+        F.approx_count_distinct("author_id")
         if approximate
-        else F.count_distinct("author_steamid")
+        else F.count_distinct("author_id")
     )
     return purchased(dwd).groupBy("appid", "dt").agg(buyers.alias("buyers"))
 
@@ -73,12 +73,12 @@ def trend_1d(dwd: DataFrame) -> DataFrame:
 
     The count of reviews is the heat of the day, the positive rate its rating trend.
     """
-    bought = F.col("steam_purchase")
+    bought = F.col("bought")
     daily = (
         dwd.groupBy("appid", "dt")
         .agg(
             F.count_if(bought).alias("sales"),
-            F.count_distinct(F.when(bought, F.col("author_steamid"))).alias("buyers"),
+            F.count_distinct(F.when(bought, F.col("author_id"))).alias("buyers"),
             F.count("*").alias("review_count"),
             F.count_if("voted_up").alias("positive_count"),
         )

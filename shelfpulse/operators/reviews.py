@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfpulse.functions.dates import created_day, epoch_to_text
 from shelfpulse.functions.text import enabled_keys, join_field, join_list
 from shelfpulse.operators.joins import join_same
 from shelfpulse.operators.rows import conform, successful, with_defaults
-from shelfpulse.schemas import AUTHOR, GAME, ODS_REVIEW, REVIEW
+from shelfpulse.schemas import AUTHOR, GAME, ODS_REVIEW, PAYLOAD_KEYS, REVIEW
 
 # What a missing review field means; other fields stay null.
 REVIEW_DEFAULTS = {
@@ -20,10 +21,10 @@ REVIEW_DEFAULTS = {
     "votes_up": 0,
     "votes_funny": 0,
     "comment_count": 0,
-    "steam_purchase": False,
+    "bought": False,
     "received_for_free": False,
     "written_during_early_access": False,
-    "primarily_steam_deck": False,
+    "on_handheld": False,
 }
 
 # The cursor of the first request and the summary of an unrated game.
@@ -102,8 +103,15 @@ def flatten_reviews(pages: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         "appid",
         "page",
         "pos",
-        *[F.col(f"item.{name}") for name in REVIEW.names if name != "author"],
-        *[F.col(f"item.author.{name}").alias(f"author_{name}") for name in AUTHOR.names],
+        *[
+            F.col(f"item.{PAYLOAD_KEYS.get(name, name)}").alias(name)
+            for name in REVIEW.names
+            if name != "author"
+        ],
+        *[
+            F.col(f"item.author.{PAYLOAD_KEYS.get(name, name)}").alias(f"author_{name}")
+            for name in AUTHOR.names
+        ],
     )
     filled = with_defaults(flat, REVIEW_DEFAULTS).withColumns(
         {
@@ -120,9 +128,11 @@ def flatten_reviews(pages: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return typed.select(*ods, *carry, "page", "pos", "dt")
 
 
-def flatten_games(details: DataFrame) -> DataFrame:
-    """Game dimension rows from successful detail responses."""
+def flatten_games(details: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Game dimension rows from successful detail responses; ``carry`` comes along."""
+    carried = [details.schema[name] for name in carry]
     flat = successful(details).select(
+        *carry,
         F.col("appid"),
         F.col("data.name").alias("name"),
         join_list("data.developers").alias("developers"),
@@ -136,7 +146,32 @@ def flatten_games(details: DataFrame) -> DataFrame:
         enabled_keys("data.platforms").alias("platforms"),
         F.coalesce("data.short_description", F.lit("")).alias("short_description"),
     )
-    return conform(flat, GAME)
+    return conform(flat, T.StructType([*GAME.fields, *carried]))
+
+
+def newest_games(details: DataFrame) -> DataFrame:
+    """One row per game: its newest successful listing over all crawls.
+
+    Without crawls, or within one, a listing with a price is newer than one without. Price
+    columns come from the newest listing that has a price, so that none never replaces one.
+    A total order of the columns decides between the rest. Rows meet in partial aggregates,
+    so a game that is listed very often is no large group.
+    """
+    listed = details.where(F.col("appid").isNotNull())
+    if "crawl_dt" not in details.columns:
+        listed = listed.withColumn("crawl_dt", F.lit(None).cast("date"))
+    listed = listed.withColumn("_crawl", F.col("crawl_dt").try_cast("date"))
+    flat = flatten_games(listed, carry=["_crawl"])
+    price = ["price_initial_cny", "price_final_cny", "discount_percent"]
+    order = F.struct("_crawl", F.col("price_final_cny").isNotNull(), *GAME.names)
+    priced = F.when(F.col("price_final_cny").isNotNull(), order)
+    newest = flat.groupBy("appid").agg(
+        F.max_by(F.struct(*GAME.names), order).alias("g"),
+        F.max_by(F.struct(*price), priced).alias("p"),
+    )
+    return newest.select(
+        *[F.col(f"p.{c}").alias(c) if c in price else F.col(f"g.{c}").alias(c) for c in GAME.names]
+    )
 
 
 def latest_crawl(rows: DataFrame) -> DataFrame:
@@ -155,6 +190,39 @@ def latest_crawl(rows: DataFrame) -> DataFrame:
     )
 
 
+def settle_crawls(rows: DataFrame, refresh_days: int) -> DataFrame:
+    """Rows of several crawls as if each had been taken in on its day.
+
+    A crawl refetches its own day and the ``refresh_days`` before it, so of the crawls that saw
+    a game on such days the last one owns each of them. Any other row counts if its review is not there yet: of
+    several crawls the first one's, unless an owner came after it. Owners and repeats are
+    found on narrow rows; the wide ones are only filtered.
+    """
+    own = F.coalesce(
+        F.col("dt").between(F.date_sub("crawl_dt", refresh_days), F.col("crawl_dt")), F.lit(False)
+    )
+    rows = rows.withColumn("_own", own)
+    seen = rows.where("_own").select("appid", "crawl_dt").distinct()
+    days = F.explode(F.sequence(F.date_sub("crawl_dt", refresh_days), "crawl_dt")).alias("dt")
+    owners = (
+        seen.select("appid", "crawl_dt", days)
+        .groupBy("appid", "dt")
+        .agg(F.max("crawl_dt").alias("_owner"))
+    )
+    met = join_same(rows, owners, ["appid", "dt"], "left")
+    owned = met.where("_own AND crawl_dt = _owner")
+    after_owner = F.coalesce(F.col("crawl_dt") > F.col("_owner"), F.col("_owner").isNull())
+    loose = met.where(~F.col("_own") & after_owner)
+    key = ["appid", "recommendationid"]
+    crawl = F.coalesce("crawl_dt", F.lit("0001-01-01").cast("date"))
+    loose = loose.withColumn("_crawl", crawl)
+    first = loose.groupBy(*key).agg(F.min("_crawl").alias("_first"))
+    loose = join_same(loose, first, key).where("_crawl = _first")
+    loose = join_same(loose, owned.select(*key).distinct(), key, "left_anti")
+    columns = [c for c in rows.columns if c != "_own"]
+    return owned.select(*columns).unionByName(loose.select(*columns))
+
+
 def query_summary(pages: DataFrame) -> DataFrame:
     """The rating summary on the first page of each game."""
     firsts = pages.where((F.col("page") == 1) & (F.col("success") == 1))

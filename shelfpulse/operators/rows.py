@@ -56,7 +56,7 @@ def within(
     return df.where(stamp.isNull() | (stamp == 0) | (stamp >= cutoff))
 
 
-def purchased(df: DataFrame, flag: str = "steam_purchase") -> DataFrame:
+def purchased(df: DataFrame, flag: str = "bought") -> DataFrame:
     return df.where(F.col(flag))
 
 

@@ -10,7 +10,8 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfpulse.functions.dates import DayWindow, created_day
+from shelfpulse.functions.dates import Days, DayWindow, created_day
+from shelfpulse.functions.labels import label_by_rules
 from shelfpulse.operators.boards import (
     gmv_growth,
     gmv_rank,
@@ -19,18 +20,18 @@ from shelfpulse.operators.boards import (
     sales_rank,
 )
 from shelfpulse.operators.cleaning import clean_reviews
+from shelfpulse.operators.joins import join_same
 from shelfpulse.operators.metrics import overview, trend_1d
 from shelfpulse.operators.quality import check
 from shelfpulse.operators.reviews import (
-    flatten_games,
     flatten_reviews,
-    latest_crawl,
+    newest_games,
+    settle_crawls,
     valid_pages,
 )
-from shelfpulse.operators.rows import cap_per_key, dedup_latest, within
+from shelfpulse.operators.rows import dedup_latest, purchased
 from shelfpulse.schemas import (
     DWD_REVIEW,
-    GAME,
     GMV,
     GMV_COMMENTS,
     ODS_REVIEW,
@@ -41,53 +42,71 @@ from shelfpulse.schemas import (
 from shelfpulse.scratch import stage
 from shelfpulse.settings import Settings
 from shelfpulse.sinks.tables import (
+    append_table,
     ensure_table,
     overwrite_from_sql,
+    overwriting,
     refresh_window,
     replace_or_backup,
     replace_table,
+    table_days,
 )
-from shelfpulse.sources.landing import intact_pages, read_game_details
+from shelfpulse.sources.landing import intact_pages, read_game_details, unreadable_pages
 
 CRAWL = ("crawl_dt", "appid")
 
 
-def ods_rows(pages: DataFrame, settings: Settings, as_of: dt.date, days: int) -> DataFrame:
-    """Landed pages to ODS rows with their day; the last crawl of a game and day counts."""
+def crawled_rows(
+    pages: DataFrame, settings: Settings, window: DayWindow | None = None
+) -> DataFrame:
+    """All reviews of landed pages as ODS rows, with their crawl and day.
+
+    Pages that cannot be read go to a table of their own, with a count per crawl. With
+    ``window`` only its days are wanted.
+    """
+    store_unreadable(pages, settings)
     # Parsed once: the paging rule and the choice of the crawl read it again.
     pages = stage(intact_pages(pages).withColumn("n_reviews", F.size("reviews")), "pages")
     rows = flatten_reviews(valid_pages(pages, CRAWL), carry=["crawl_dt"])
-    rows = within(rows, as_of, days)
-    if settings.cap_per_game is not None:
-        rows = cap_per_key(
-            rows, CRAWL, ["page", "pos"], settings.cap_per_game, spread_by=["page", "pos"]
-        )
-    if pages.agg(F.count_distinct("crawl_dt")).first()[0] > 1:
-        rows = latest_crawl(rows)
-    return rows.select(*ODS_REVIEW.names, "dt")
+    if window:
+        rows = rows.where(window.holds("dt"))
+    return rows.select(*ODS_REVIEW.names, "crawl_dt", "dt")
 
 
-def load_games(spark: SparkSession, settings: Settings) -> bool:
-    """Replace the game dimension; tells whether a price that is in use changed."""
-    fetched = flatten_games(read_game_details(spark, settings.game_landing))
-    # One row per game: a second listing would count every sale of the game twice.
-    games = dedup_latest(
-        fetched.where(F.col("appid").isNotNull()), ["appid"], [F.col(c) for c in GAME.names]
-    )
-    games = stage(games, "games")
+def store_unreadable(pages: DataFrame, settings: Settings) -> None:
+    """Keep the lines that cannot be read, and tell how many there are of each crawl.
+
+    A crawl that is taken in again is looked at again, so lines that are there already are
+    not repeated, and the counts are those of the table.
+    """
+    lines = stage(unreadable_pages(pages), "unreadable")
+    if lines.isEmpty():
+        return
+    name, fmt = settings.table("unreadable"), settings.table_format
+    ensure_table(lines.sparkSession, name, lines.schema, fmt=fmt)
+    stored = lines.sparkSession.table(name)
+    new = join_same(lines.distinct(), stored, lines.columns, "left_anti")
+    append_table(stage(new, "unreadable-new"), name, fmt=fmt)
+    counts = lines.sparkSession.table(name).groupBy("crawl_dt").agg(F.count("*").alias("pages"))
+    replace_table(counts, settings.table("intake"), fmt=fmt)
+
+
+def load_games(spark: SparkSession, settings: Settings) -> DataFrame | None:
+    """Replace the game dimension; gives the appid of games whose price is another now."""
+    games = stage(newest_games(read_game_details(spark, settings.game_landing)), "games")
     name = settings.table("game")
     if games.isEmpty():
-        return False
-    repriced = True
+        return None
+    repriced = games.select("appid")
     if spark.catalog.tableExists(name):
         price = ["appid", "price_final_cny"]
         stored = spark.table(name).select(*price)
-        current = games.select(*price)
-        repriced = not (
-            current.exceptAll(stored).isEmpty() and stored.exceptAll(current).isEmpty()
-        )
+        repriced = join_same(games.select(*price), stored, price, "left_anti").select("appid")
+    repriced = stage(repriced, "repriced")
     if settings.csv_backup:
-        replace_or_backup(games, name, settings.csv_backup, fmt=settings.table_format)
+        written = replace_or_backup(games, name, settings.csv_backup, fmt=settings.table_format)
+        if written != "table":
+            raise RuntimeError(f"{name} could not be written; its rows are in {settings.csv_backup}")
     else:
         replace_table(games, name, fmt=settings.table_format)
     return repriced
@@ -105,6 +124,57 @@ def load_ods(rows: DataFrame, settings: Settings) -> bool:
     return written > 0
 
 
+def take_crawls(rows: DataFrame, settings: Settings) -> Days:
+    """Bring the staged rows of crawls into the review table, one crawl after the other.
+
+    Each crawl refreshes its own day and the ``refresh_days`` before it, for the games that
+    it has rows of. Its other rows are added unless their review is stored. Gives the days
+    that changed. There are no more crawls and days than the calendar has.
+    """
+    spark, name = rows.sparkSession, settings.table("ods_review")
+    changed: set[dt.date] = set()
+    crawls = sorted(
+        (row[0] for row in rows.select("crawl_dt").distinct().collect()),
+        key=lambda day: day or dt.date.min,
+    )
+    for crawl in crawls:
+        own = rows.where(F.col("crawl_dt").eqNullSafe(F.lit(crawl)))
+        own = own.select(*ODS_REVIEW.names, "dt")
+        loose = own
+        if crawl:
+            window = DayWindow.trailing(crawl, settings.refresh_days)
+            inside = own.where(window.holds("dt"))
+            if refresh_ods(inside, settings, window):
+                stored = table_days(spark, name) if settings.table_format == "parquet" else []
+                changed |= {day for day in stored if window.includes(day)}
+                changed |= set(_days(window))
+            loose = own.where(F.coalesce(~window.holds("dt"), F.lit(True)))
+        changed |= _add_new(loose, settings)
+    return Days(frozenset(changed))
+
+
+def _days(window: DayWindow) -> list[dt.date]:
+    return [window.first + dt.timedelta(n) for n in range((window.last - window.first).days + 1)]
+
+
+def _add_new(rows: DataFrame, settings: Settings) -> set[dt.date]:
+    """Add reviews that are not stored; a review keeps its day, so only its days are read."""
+    days = {row[0] for row in rows.select("dt").distinct().collect()}
+    if not days:
+        return set()
+    spark, name = rows.sparkSession, settings.table("ods_review")
+    ensure_table(
+        spark, name, with_day(ODS_REVIEW), partition_by="dt", fmt=settings.table_format
+    )
+    dated = Days(frozenset(days - {None}))
+    known = spark.table(name).where(dated.holds("dt") | F.col("dt").isNull())
+    key = ["appid", "recommendationid"]
+    new = join_same(rows, known.select(*key).distinct(), key, "left_anti")
+    with overwriting(spark, "dynamic"):
+        append_table(stage(new, "loose"), name, fmt=settings.table_format)
+    return set(dated.days)
+
+
 def refresh_ods(rows: DataFrame, settings: Settings, window: DayWindow) -> bool:
     """Replace the window of the games that have new rows."""
     if rows.isEmpty():
@@ -121,12 +191,17 @@ def refresh_ods(rows: DataFrame, settings: Settings, window: DayWindow) -> bool:
     return True
 
 
-def build_dwd(spark: SparkSession, settings: Settings, window: DayWindow | None) -> None:
-    """Clean and label reviews: all of them, or the days of a window."""
+def build_dwd(spark: SparkSession, settings: Settings, window: DayWindow | Days | None) -> None:
+    """Clean and label reviews: all of them, or the days of a window.
+
+    A review without a day stays in ODS: the layers above are kept by day.
+    """
     ods = spark.table(settings.table("ods_review"))
     if window:
         ods = ods.where(window.holds("dt"))
-    dwd = clean_reviews(ods.select(*ODS_REVIEW.names), settings.required)
+    label = settings.label or partial(label_by_rules, rules=settings.label_rules)
+    ods = ods.where(F.col("dt").isNotNull())
+    dwd = clean_reviews(ods.select(*ODS_REVIEW.names), settings.required, label)
     if settings.dedup_keys:
         newest = [F.desc_nulls_last("timestamp_updated"), F.asc("recommendationid")]
         dwd = dedup_latest(dwd, settings.dedup_keys, newest)
@@ -141,15 +216,40 @@ def build_dwd(spark: SparkSession, settings: Settings, window: DayWindow | None)
     _store_days(dwd, settings, "dwd_review", window)
 
 
-def build_overview(spark: SparkSession, settings: Settings, window: DayWindow | None) -> None:
+def build_overview(
+    spark: SparkSession,
+    settings: Settings,
+    window: DayWindow | Days | None,
+    repriced: DataFrame | None = None,
+) -> None:
+    """The wide table: all of it, or the days of a window.
+
+    ``repriced`` names games whose price is another now: their rows on other days are
+    replaced too, on the days on which they sold and on no others.
+    """
     reviews = spark.table(settings.table("dwd_review"))
-    if window:
-        reviews = reviews.where(window.holds("dt"))
-    wide = overview(reviews, spark.table(settings.table("game")))
-    _store_days(wide.select(*OVERVIEW.names, "dt"), settings, "overview", window)
+    game = spark.table(settings.table("game"))
+    columns = [*OVERVIEW.names, "dt"]
+    inside = reviews.where(window.holds("dt")) if window else reviews
+    _store_days(overview(inside, game).select(*columns), settings, "overview", window)
+    if window is None or repriced is None or repriced.isEmpty():
+        return
+    again = purchased(reviews).where(~window.holds("dt"))
+    again = join_same(again, repriced, ["appid"], "left_semi")
+    rows = stage(overview(again, game).select(*columns), "repriced-rows")
+    days = Days(frozenset(row[0] for row in rows.select("dt").distinct().collect()))
+    if days.days:
+        refresh_window(
+            rows,
+            settings.table("overview"),
+            days,
+            keys=["appid"],
+            keep_undated=False,
+            fmt=settings.table_format,
+        )
 
 
-def build_trend(spark: SparkSession, settings: Settings, window: DayWindow | None) -> None:
+def build_trend(spark: SparkSession, settings: Settings, window: DayWindow | Days | None) -> None:
     reviews = spark.table(settings.table("dwd_review"))
     if window:
         reviews = reviews.where(window.holds("dt"))
@@ -171,7 +271,7 @@ def build_gmv(spark: SparkSession, settings: Settings) -> None:
         WITH sold AS (
             SELECT t.appid, t.dt, t.sales,
                    t.sales * CAST(g.price_final_cny AS DECIMAL(18, 4))
-                           * CAST({settings.price_scale} AS DECIMAL(9, 4)) AS amount
+                           * CAST({settings.price_scale} AS DECIMAL(16, 10)) AS amount
             FROM {settings.table("trend")} t
             JOIN {settings.table("game")} g ON t.appid = g.appid
             WHERE t.sales > 0
@@ -185,10 +285,14 @@ def build_gmv(spark: SparkSession, settings: Settings) -> None:
     )
 
 
-def build_boards(spark: SparkSession, settings: Settings, as_of: dt.date) -> None:
-    """Rankings and growth for the dashboard."""
+def build_boards(spark: SparkSession, settings: Settings, as_of: dt.date | None) -> None:
+    """Rankings and growth for the dashboard, as of a day or else of the newest one."""
     gmv = spark.table(settings.table("gmv"))
     trend = spark.table(settings.table("trend"))
+    if as_of is None:
+        as_of = trend.agg(F.max("dt")).first()[0]
+        if as_of is None:
+            return
     totals = recent_totals(gmv, as_of, settings.rank_days)
     boards: dict[str, Callable[[], DataFrame]] = {
         "sales_rank": lambda: sales_rank(totals),
@@ -211,7 +315,7 @@ def together(*steps: Callable[[], object]) -> None:
 
 
 def _store_days(
-    rows: DataFrame, settings: Settings, role: str, window: DayWindow | None
+    rows: DataFrame, settings: Settings, role: str, window: DayWindow | Days | None
 ) -> None:
     name = settings.table(role)
     if window is None:

@@ -13,6 +13,7 @@ from shelfpulse.operators.reviews import (
 from shelfpulse.queries.registry import query
 from shelfpulse.queries.standins import events, table, texts
 from shelfpulse.scratch import scratch_path
+from shelfpulse.schemas import PAYLOAD_KEYS
 from shelfpulse.sources import (
     from_rows,
     intact_pages,
@@ -34,8 +35,8 @@ def document_pages(spark, sf_dir):
         F.col("lang").alias("language"),
         (F.col("quality") == 1).alias("voted_up"),
         F.col("toxic").alias("votes_up"),
-        F.struct(F.col("source").alias("steamid")).alias("author"),
-        F.col("quality").isNotNull().alias("steam_purchase"),
+        F.struct(F.col("source").alias(PAYLOAD_KEYS["id"])).alias("author"),
+        F.col("quality").isNotNull().alias(PAYLOAD_KEYS["bought"]),
     )
     page = (F.floor(F.col("doc_id") / PAGE_SPAN) + 1).cast("int")
     appid = F.substring("source", 4, 10).cast("bigint")
@@ -111,8 +112,8 @@ def unreadable_page_scan(spark, sf_dir):
 SELECT CAST(substr(d.source, 4) AS BIGINT) AS appid, CAST(d.doc_id AS VARCHAR) AS recommendationid,
        d.text AS review, d.lang AS language, coalesce(l.quality = 1, false) AS voted_up,
        coalesce(l.toxic, 0) AS votes_up, 0 AS votes_funny, 0 AS comment_count,
-       d.source AS author_steamid, CAST(NULL AS INTEGER) AS author_num_reviews,
-       l.quality IS NOT NULL AS steam_purchase, false AS received_for_free,
+       d.source AS author_id, CAST(NULL AS INTEGER) AS author_num_reviews,
+       l.quality IS NOT NULL AS bought, false AS received_for_free,
        CAST(NULL AS VARCHAR) AS developer_response, CAST(NULL AS VARCHAR) AS created_date
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """)
@@ -128,9 +129,9 @@ def flatten_reviews(spark, sf_dir):
         "votes_up",
         "votes_funny",
         "comment_count",
-        "author_steamid",
+        "author_id",
         "author_num_reviews",
-        "steam_purchase",
+        "bought",
         "received_for_free",
         "developer_response",
         "created_date",

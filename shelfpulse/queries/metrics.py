@@ -12,11 +12,11 @@ from shelfpulse.queries.standins import GAMES_SQL, GMV_SQL, SALES_SQL, games, sa
 
 @query(f"""
 WITH {SALES_SQL}, {GAMES_SQL}
-SELECT s.appid, s.recommendationid, s.author_steamid, s.created_date,
-       CAST(s.dt AS VARCHAR) AS dt, s.steam_purchase, s.voted_up,
+SELECT s.appid, s.recommendationid, s.author_id, s.created_date,
+       CAST(s.dt AS VARCHAR) AS dt, s.bought, s.voted_up,
        CAST(g.price_final_cny AS DOUBLE) AS price_final_cny
 FROM sales s JOIN games g ON s.appid = g.appid
-WHERE s.steam_purchase
+WHERE s.bought
 """)
 def overview_wide(spark, sf_dir):
     return metrics.overview(sales(spark, sf_dir), games(spark, sf_dir))
@@ -34,8 +34,8 @@ def daily_gmv(spark, sf_dir):
 
 @query(f"""
 WITH {SALES_SQL}
-SELECT appid, CAST(dt AS VARCHAR) AS dt, count(DISTINCT author_steamid) AS buyers
-FROM sales WHERE steam_purchase GROUP BY appid, dt
+SELECT appid, CAST(dt AS VARCHAR) AS dt, count(DISTINCT author_id) AS buyers
+FROM sales WHERE bought GROUP BY appid, dt
 """)
 def daily_sales_distinct(spark, sf_dir):
     return metrics.daily_buyers(sales(spark, sf_dir))
@@ -47,8 +47,8 @@ SELECT appid, CAST(dt AS VARCHAR) AS dt, sales, buyers, review_count, positive_c
        rank() OVER (PARTITION BY dt ORDER BY sales DESC) AS sales_rank
 FROM (
     SELECT appid, dt,
-           count(*) FILTER (WHERE steam_purchase) AS sales,
-           count(DISTINCT author_steamid) FILTER (WHERE steam_purchase) AS buyers,
+           count(*) FILTER (WHERE bought) AS sales,
+           count(DISTINCT author_id) FILTER (WHERE bought) AS buyers,
            count(*) AS review_count,
            count(*) FILTER (WHERE voted_up) AS positive_count
     FROM sales GROUP BY appid, dt
@@ -105,11 +105,11 @@ def row_count(spark, sf_dir):
 
 @query(f"""
 WITH {SALES_SQL}
-SELECT appid, recommendationid, author_steamid, created_date FROM sales WHERE steam_purchase
+SELECT appid, recommendationid, author_id, created_date FROM sales WHERE bought
 """)
 def purchased_reviews(spark, sf_dir):
     bought = purchased(sales(spark, sf_dir))
-    return bought.select("appid", "recommendationid", "author_steamid", "created_date")
+    return bought.select("appid", "recommendationid", "author_id", "created_date")
 
 
 @query(f"""

@@ -32,10 +32,10 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select(
         "appid",
         F.col("event_id").cast("string").alias("recommendationid"),
-        F.col("user_id").cast("string").alias("author_steamid"),
+        F.col("user_id").cast("string").alias("author_id"),
         "created_date",
         "dt",
-        (F.col("event_type") == "purchase").alias("steam_purchase"),
+        (F.col("event_type") == "purchase").alias("bought"),
         (F.col("event_type") != "error").alias("voted_up"),
     )
 
@@ -44,10 +44,10 @@ SALES_SQL = """
 sales AS (
     SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS appid,
            CAST(event_id AS VARCHAR) AS recommendationid,
-           CAST(user_id AS VARCHAR) AS author_steamid,
+           CAST(user_id AS VARCHAR) AS author_id,
            strftime(ts, '%Y-%m-%d %H:%M:%S') AS created_date,
            CAST(ts AS DATE) AS dt,
-           event_type = 'purchase' AS steam_purchase,
+           event_type = 'purchase' AS bought,
            event_type <> 'error' AS voted_up
     FROM events
 )
@@ -83,7 +83,7 @@ GMV_SQL = f"""
 gmv AS (
     SELECT s.appid, s.dt, sum(g.price_final_cny) AS gmv, count(*) AS add_review_num
     FROM sales s JOIN games g ON s.appid = g.appid
-    WHERE s.steam_purchase
+    WHERE s.bought
     GROUP BY s.appid, s.dt
 )
 """

@@ -183,7 +183,7 @@ def gmv_insert_overwrite(spark, sf_dir):
         INSERT OVERWRITE TABLE {name}
         WITH sold AS (
             SELECT appid, left(created_date, 10) AS day, count(*) AS copies
-            FROM {fact} WHERE steam_purchase GROUP BY ALL
+            FROM {fact} WHERE bought GROUP BY ALL
         ),
         amounts AS (
             SELECT sold.*, copies * price_final_cny AS amount FROM sold JOIN {dim} USING (appid)

@@ -16,10 +16,31 @@ def struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
+# Keys of the landed payload that are not the names of our columns.
+PAYLOAD_KEYS = {
+    "id": "steamid",
+    "bought": "steam_purchase",
+    "on_handheld": "primarily_steam_deck",
+}
+
+
+def as_landed(schema: T.StructType) -> T.StructType:
+    """The same fields under the keys of the payload."""
+    return T.StructType(
+        [
+            T.StructField(
+                PAYLOAD_KEYS.get(f.name, f.name),
+                as_landed(f.dataType) if isinstance(f.dataType, T.StructType) else f.dataType,
+            )
+            for f in schema.fields
+        ]
+    )
+
+
 # Counts arrive as 64-bit so that one oversized value cannot void its whole page; the
 # table schema narrows them.
 AUTHOR = struct(
-    steamid=STRING,
+    id=STRING,
     num_games_owned=LONG,
     num_reviews=LONG,
     playtime_forever=LONG,
@@ -41,10 +62,10 @@ REVIEW = struct(
     weighted_vote_score=STRING,
     comment_count=LONG,
     author=AUTHOR,
-    steam_purchase=BOOLEAN,
+    bought=BOOLEAN,
     received_for_free=BOOLEAN,
     written_during_early_access=BOOLEAN,
-    primarily_steam_deck=BOOLEAN,
+    on_handheld=BOOLEAN,
     developer_response=STRING,
     timestamp_dev_responded=LONG,
 )
@@ -67,7 +88,7 @@ REVIEW_PAGE = struct(
     success=INT,
     cursor=STRING,
     query_summary=QUERY_SUMMARY,
-    reviews=T.ArrayType(REVIEW),
+    reviews=T.ArrayType(as_landed(REVIEW)),
     **{CORRUPT: STRING},
 )
 
@@ -96,7 +117,7 @@ ODS_REVIEW = struct(
     votes_funny=INT,
     weighted_vote_score=DOUBLE,
     comment_count=INT,
-    author_steamid=STRING,
+    author_id=STRING,
     author_num_games_owned=INT,
     author_num_reviews=INT,
     author_playtime_forever=INT,
@@ -104,10 +125,10 @@ ODS_REVIEW = struct(
     author_playtime_at_review=INT,
     author_deck_playtime_at_review=DOUBLE,
     author_last_played=LONG,
-    steam_purchase=BOOLEAN,
+    bought=BOOLEAN,
     received_for_free=BOOLEAN,
     written_during_early_access=BOOLEAN,
-    primarily_steam_deck=BOOLEAN,
+    on_handheld=BOOLEAN,
     developer_response=STRING,
     timestamp_dev_responded=LONG,
     created_date=STRING,
@@ -135,12 +156,11 @@ OVERVIEW = T.StructType(DWD_REVIEW.fields + struct(price_final_cny=LONG).fields)
 
 GMV = struct(appid=STRING, dt=STRING, gmv=MONEY, add_review_num=LONG)
 
-# The column comments of the table.
 GMV_COMMENTS = {
-    "appid": "游戏id",
-    "dt": "日期",
-    "gmv": "产品日度销售额GMV",
-    "add_review_num": "日增评论数",
+    "appid": "game, as text",
+    "dt": "day of the reviews, as text",
+    "gmv": "purchased reviews of the day times the current price",
+    "add_review_num": "purchased reviews of the day",
 }
 
 TREND = struct(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Defaults for large inputs. The cluster's own settings win: only keys that are
@@ -16,12 +17,12 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
     # A dimension above this size is joined by shuffle instead of broadcast.
     "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "spark.ui.enabled": "false",
     # Recording the call site of every column expression slows the building of wide plans.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 LOCAL_DEFAULTS = {
+    "spark.ui.enabled": "false",
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8",
     # Small inputs still occupy all cores.
@@ -29,6 +30,16 @@ LOCAL_DEFAULTS = {
 }
 
 
+def _given(conf: dict[str, str]) -> SparkConf:
+    """What is set already: by a running session, or by the submit command and its files."""
+    running = SparkSession.getActiveSession()
+    if running:
+        return running.sparkContext.getConf()
+    # Starts the driver's JVM, which must know settings like its memory, and asks it.
+    SparkContext._ensure_initialized(conf=SparkConf(loadDefaults=False).setAll(list(conf.items())))
+    return SparkConf()
+
+
 def build_session(
     app_name: str = "shelfpulse",
     *,
@@ -36,7 +47,10 @@ def build_session(
     time_zone: str = "UTC",
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Session with the time zone set explicitly; ``conf`` overrides every default.
+    """Session with the time zone set explicitly.
+
+    ``conf`` overrides everything; what the cluster or the submit command sets overrides the
+    defaults here, which only fill in what nobody has set.
 
     An Iceberg catalog is plain Spark configuration and goes through ``conf``
     (``spark.sql.catalog.<name>`` and its companions).
@@ -49,6 +63,9 @@ def build_session(
         options.update(LOCAL_DEFAULTS)
     options["spark.sql.session.timeZone"] = time_zone
     options.update(conf or {})
+    given = _given(conf or {})
     for key, value in options.items():
-        builder = builder.config(key, value)
+        chosen = conf and key in conf or key == "spark.sql.session.timeZone"
+        if chosen or not given.contains(key):
+            builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -7,6 +7,7 @@ to a catalog with row-level commits, where replace and refresh are one commit ea
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager, nullcontext
 
@@ -15,11 +16,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfpulse.functions.dates import DayWindow
+from shelfpulse.functions.dates import Days, DayWindow
 from shelfpulse.operators.joins import join_same
 from shelfpulse.scratch import stage
 from shelfpulse.sinks.export import write_csv_backup
 
+log = logging.getLogger(__name__)
+
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 ICEBERG = "iceberg"
 
@@ -177,7 +180,7 @@ def delete_window(
 def refresh_window(
     new: DataFrame,
     name: str,
-    window: DayWindow,
+    window: DayWindow | Days,
     *,
     keys: Sequence[str] | None = None,
     row_key: Sequence[str] = ("appid", "recommendationid"),
@@ -218,7 +221,7 @@ def refresh_window(
 
 
 def _overwrite_days(
-    rows: DataFrame, name: str, window: DayWindow | None, day: str, *, skip_empty: bool = False
+    rows: DataFrame, name: str, window: DayWindow | Days | None, day: str, *, skip_empty: bool = False
 ) -> int:
     """Dynamic partition overwrite, then drop the days that got no rows.
 
@@ -265,6 +268,7 @@ def replace_or_backup(
     try:
         replace_table(df, name, partition_by=partition_by, fmt=fmt)
     except Exception:  # any failure of the table write leads to the backup
+        log.exception("%s could not be written; its rows go to %s", name, csv_path)
         write_csv_backup(df, csv_path)
         return "csv"
     return "table"

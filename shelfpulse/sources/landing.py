@@ -37,23 +37,22 @@ def unreadable_pages(pages: DataFrame) -> DataFrame:
 def parse_game_details(lines: DataFrame, column: str = "value") -> DataFrame:
     """Objects keyed by app id, one row per key: appid, success, data."""
     details = F.explode(F.from_json(F.col(column), GAME_DETAIL)).alias("key", "detail")
-    return lines.select(details).select(
+    crawl = [c for c in lines.columns if c == "crawl_dt"]
+    return lines.select(details, *crawl).select(
         F.col("key").try_cast("bigint").alias("appid"),
         F.col("detail.success").alias("success"),
         F.col("detail.data").alias("data"),
+        *crawl,
     )
 
 
 def read_game_details(spark: SparkSession, path: str) -> DataFrame:
     """Landed detail responses, one JSON object per line.
 
-    If the landing zone has ``crawl_dt=`` folders, the last crawl is read.
+    If the landing zone has ``crawl_dt=`` folders, rows carry that column, and all crawls
+    are read: a game that the last one missed is still a game.
     """
-    lines = spark.read.text(path)
-    if "crawl_dt" in lines.columns:
-        last = lines.agg(F.max("crawl_dt")).first()[0]
-        lines = lines.where(F.col("crawl_dt") == F.lit(last))
-    return parse_game_details(lines)
+    return parse_game_details(spark.read.text(path))
 
 
 def read_seed(spark: SparkSession, path: str) -> DataFrame:

@@ -13,6 +13,7 @@ from shelfpulse.__main__ import parser, settings_from
 from shelfpulse.plans import backfill, layers, run_daily, run_full
 from shelfpulse.plans.runs import take_in
 from shelfpulse.scratch import scratch_path
+from shelfpulse.schemas import PAYLOAD_KEYS
 from shelfpulse.settings import JdbcTarget, Settings
 from shelfpulse.streaming import ingest_new
 
@@ -22,14 +23,14 @@ def stamp(day, hour=12):
     return int(moment.timestamp())
 
 
-def review(rid, day, steamid="u", bought=True, up=True, text="好评 画面"):
+def review(rid, day, author="u", bought=True, up=True, text="好评 画面"):
     return {
         "recommendationid": rid,
         "review": text,
         "timestamp_created": stamp(day) if day else None,
         "voted_up": up,
-        "author": {"steamid": steamid},
-        "steam_purchase": bought,
+        "author": {PAYLOAD_KEYS["id"]: author},
+        PAYLOAD_KEYS["bought"]: bought,
     }
 
 
@@ -97,8 +98,9 @@ def test_first_load_then_daily(spark, zone, settings):
     zone.page("2024-01-20", 2, 2, [])
     zone.page("2024-01-20", 2, 3, [review("after the end", "2024-01-18")])
     run_full(spark, settings, "2024-01-20")
-    assert ids(spark, settings, "ods_review") == ["a", "b", "c", "d", "e"]
+    assert ids(spark, settings, "ods_review") == ["a", "b", "c", "d", "e", "old"]
     assert gmv(spark, settings) == [
+        ("1", "2023-10-01", Decimal(10), 1),
         ("1", "2024-01-10", Decimal(10), 1),
         ("1", "2024-01-15", Decimal(10), 1),
         ("1", "2024-01-20", Decimal(10), 1),
@@ -106,38 +108,39 @@ def test_first_load_then_daily(spark, zone, settings):
     ]
     dwd = spark.table(settings.table("dwd_review"))
     assert {r.category for r in dwd.collect()} == {"画面"} and len(dwd.columns) == 30
-    assert ids(spark, settings, "overview") == ["a", "b", "c", "d"]
+    assert ids(spark, settings, "overview") == ["a", "b", "c", "d", "old"]
     ranked = spark.table(settings.table("sales_rank")).collect()
     assert sorted((r.appid, r.sales, r.sales_rank) for r in ranked) == [("1", 2, 1), ("2", 1, 2)]
-    assert spark.table(settings.table("growth")).count() == 4
+    assert spark.table(settings.table("growth")).count() == 5
     back = spark.read.format("jdbc").options(
         url=settings.export.url, dbtable=settings.export.table
     )
-    assert back.load().count() == 4
+    assert back.load().count() == 5
 
     # Game 1 is crawled again: b was edited, c withdrawn, f is new. Game 2 has no new rows.
     zone.price(g1=10, g2=20)
     zone.page("2024-01-22", 1, 1, [review("b", "2024-01-15", bought=False), review("f", "2024-01-22")])
     zone.page("2024-01-22", 2, 1, [])
     run_daily(spark, settings, "2024-01-22")
-    assert ids(spark, settings, "ods_review") == ["a", "b", "d", "e", "f"]
+    assert ids(spark, settings, "ods_review") == ["a", "b", "d", "e", "f", "old"]
     expected = [
+        ("1", "2023-10-01", Decimal(10), 1),
         ("1", "2024-01-10", Decimal(10), 1),
         ("1", "2024-01-22", Decimal(10), 1),
         ("2", "2024-01-18", Decimal(20), 1),
     ]
     assert gmv(spark, settings) == expected
-    assert ids(spark, settings, "overview") == ["a", "d", "f"]
+    assert ids(spark, settings, "overview") == ["a", "d", "f", "old"]
 
     # A second run the same day finds nothing new and changes nothing.
     run_daily(spark, settings, "2024-01-22")
     assert gmv(spark, settings) == expected
-    assert ids(spark, settings, "dwd_review") == ["a", "b", "d", "e", "f"]
+    assert ids(spark, settings, "dwd_review") == ["a", "b", "d", "e", "f", "old"]
 
     # A new price applies to the whole history.
     zone.price(g1=11, g2=20)
     run_daily(spark, settings, "2024-01-23")
-    assert gmv(spark, settings)[0] == ("1", "2024-01-10", Decimal(11), 1)
+    assert gmv(spark, settings)[1] == ("1", "2024-01-10", Decimal(11), 1)
     wide = spark.table(settings.table("overview")).where("recommendationid = 'a'")
     assert wide.first().price_final_cny == 11
 
@@ -145,10 +148,10 @@ def test_first_load_then_daily(spark, zone, settings):
 def test_crawl_that_lands_in_two_parts(spark, zone, settings):
     day = dt.date(2024, 1, 20)
     zone.page("2024-01-20", 1, 1, [review("a", "2024-01-20")])
-    take_in(spark, settings, day)
+    assert day in take_in(spark, settings).days
     assert ids(spark, settings, "ods_review") == ["a"]
     zone.page("2024-01-20", 1, 2, [review("b", "2024-01-20"), review("c", "2024-01-14")])
-    take_in(spark, settings, day)
+    take_in(spark, settings)
     assert ids(spark, settings, "ods_review") == ["a", "b", "c"]
 
 
@@ -167,14 +170,14 @@ def test_backfill(spark, zone, settings):
     assert ids(spark, settings, "ods_review") == ["r05", "r15", "r25"]
 
 
-def test_cap_and_required_columns(spark, zone, settings):
+def test_required_columns_and_keys(spark, zone, settings):
     from dataclasses import replace
 
     zone.price(g1=10)
     zone.page("2024-01-20", 1, 1, [review(str(i), "2024-01-20") for i in range(30)])
-    capped = replace(settings, cap_per_game=7, export=None)
+    capped = replace(settings, export=None)
     run_full(spark, capped, "2024-01-20")
-    assert ids(spark, capped, "ods_review") == sorted(str(i) for i in range(7))
+    assert ids(spark, capped, "ods_review") == sorted(str(i) for i in range(30))
     single = replace(capped, dedup_keys=("appid", "timestamp_created"))
     layers.build_dwd(spark, single, None)
     assert ids(spark, single, "dwd_review") == ["0"]
@@ -193,7 +196,7 @@ def test_quality_rules_divert_rows(spark, zone, settings):
         1,
         [review("a", "2024-01-20"), review("b", "2024-01-20", text="!!"), review("c", "2024-01-19")],
     )
-    rules = {"has_text": "clean_content <> ''", "has_author": "author_steamid IS NOT NULL"}
+    rules = {"has_text": "clean_content <> ''", "has_author": "author_id IS NOT NULL"}
     checked = replace(settings, quality_rules=rules)
     run_full(spark, checked, "2024-01-20")
     assert ids(spark, checked, "dwd_review") == ["a", "c"]
@@ -232,13 +235,13 @@ def test_daily_run_before_anything_landed(spark, zone, settings):
 def test_command_line_settings(monkeypatch):
     monkeypatch.setenv("SHELFPULSE_JDBC_PASSWORD", "secret")
     args = parser().parse_args(
-        "daily --reviews r --games g --checkpoint c --cap 100 --as-of 2024-01-30 "
+        "daily --reviews r --games g --checkpoint c --rank-days 9 --as-of 2024-01-30 "
         "--jdbc-url jdbc:x --jdbc-user root".split()
     )
     made = settings_from(args)
-    assert made.cap_per_game == 100 and made.review_landing == "r"
+    assert made.rank_days == 9 and made.review_landing == "r"
     assert made.export.properties == {"user": "root", "password": "secret"}
-    assert made.export.batch_size == 5000 and made.export.table == "ads_steam_dashboard"
+    assert made.export.batch_size == 5000 and made.export.table == "ads_dashboard"
 
 
 def test_failed_batch_runs_again(spark, zone, tmp_path):
@@ -254,3 +257,126 @@ def test_failed_batch_runs_again(spark, zone, tmp_path):
     ingest_new(spark, str(zone.reviews), checkpoint, lambda pages: seen.append(pages.count()))
     ingest_new(spark, str(zone.reviews), checkpoint, lambda pages: seen.append(pages.count()))
     assert seen == [1]
+
+
+def test_crawls_that_pile_up_lose_nothing(spark, zone, settings):
+    zone.price(g1=10)
+    zone.page("2024-01-05", 1, 1, [review("a", "2024-01-01"), review("b", "2024-01-05")])
+    zone.page("2024-01-13", 1, 1, [review("c", "2024-01-10"), review("ahead", "2024-02-02")])
+    zone.page("2024-01-30", 1, 1, [review("d", "2024-01-30"), review("late", "2023-12-01")])
+    run_daily(spark, settings, "2024-01-20")
+    every = ["a", "ahead", "b", "c", "d", "late"]
+    assert ids(spark, settings, "ods_review") == every
+    assert ids(spark, settings, "dwd_review") == every
+    # A part of an older crawl lands late: it does not take back what a newer one owns.
+    zone.page("2024-01-31", 1, 1, [review("d", "2024-01-30", bought=False)])
+    run_daily(spark, settings, "2024-01-31")
+    zone.page("2024-01-30", 1, 2, [review("e", "2024-01-22")])
+    run_daily(spark, settings, "2024-01-31")
+    assert ids(spark, settings, "ods_review") == sorted([*every, "e"])
+    d = spark.table(settings.table("ods_review")).where("recommendationid = 'd'").first()
+    assert d.bought is False
+
+
+def test_full_run_reads_what_it_marks(spark, zone, settings):
+    zone.price(g1=10)
+    zone.page("2024-01-20", 1, 1, [review("a", "2024-01-20"), review("nowhen", None)])
+    zone.page("2024-01-21", 1, 1, [review("b", "2024-01-21")])
+    run_full(spark, settings, "2024-01-20")
+    run_daily(spark, settings, "2024-01-21")
+    assert ids(spark, settings, "ods_review") == ["a", "b", "nowhen"]
+    assert ids(spark, settings, "dwd_review") == ["a", "b"]
+    run_full(spark, settings, "2024-06-01")
+    assert ids(spark, settings, "ods_review") == ["a", "b", "nowhen"]
+
+
+def test_backfill_leaves_the_boards_at_the_newest_day(spark, zone, settings):
+    zone.price(g1=10, g2=20)
+    zone.page("2024-01-10", 1, 1, [review("a", "2024-01-10"), review("b", "2024-01-09")])
+    zone.page("2024-01-30", 2, 1, [review("c", "2024-01-30")])
+    run_full(spark, settings, "2024-01-30")
+    top = lambda: [r.appid for r in spark.table(settings.table("sales_rank")).collect()]
+    assert top() == ["2"]
+    backfill(spark, settings, "2024-01-09", "2024-01-11")
+    assert top() == ["2"]
+    backfill(spark, settings, "2024-01-09", "2024-01-11", as_of="2024-01-11")
+    assert top() == ["1"]
+
+
+def test_games_over_several_crawls(spark, zone, settings):
+    def listed(crawl, *lines):
+        folder = zone.games / f"crawl_dt={crawl}"
+        folder.mkdir()
+        (folder / "details.json").write_text("\n".join(lines))
+
+    def line(appid, name, price, success=True):
+        data = {"name": name} | ({"price_overview": {"final": price}} if price is not None else {})
+        return json.dumps({appid: {"success": success, "data": data}})
+
+    listed("2024-01-01", line("1", "one", 10), line("2", "two", 20), line("3", "three", 30))
+    listed("2024-01-09", line("1", "new", 12), line("2", "two!", None), line("2", "two", None))
+    listed("2024-01-10", line("1", "failed", 99, success=False))
+    zone.page("2024-01-20", 1, 1, [review("a", "2024-01-20")])
+    zone.page("2024-01-20", 3, 1, [review("b", "2024-01-20")])
+    run_full(spark, settings, "2024-01-20")
+    games = {r.appid: (r.name, r.price_final_cny) for r in spark.table(settings.table("game")).collect()}
+    assert games == {1: ("new", 12), 2: ("two!", 20), 3: ("three", 30)}
+    assert [(r[0], r[2]) for r in gmv(spark, settings)] == [("1", Decimal(12)), ("3", Decimal(30))]
+
+
+def test_a_new_price_touches_only_days_of_its_game(spark, zone, settings):
+    zone.price(g1=10, g2=20)
+    zone.page("2024-01-20", 1, 1, [review("a", "2024-01-02"), review("b", "2024-01-20")])
+    zone.page("2024-01-20", 2, 1, [review("c", "2024-01-05"), review("d", "2024-01-02")])
+    run_full(spark, settings, "2024-01-20")
+    wide = lambda: spark.table(settings.table("overview"))
+    files = lambda day: {r[0] for r in wide().where(f"dt = '{day}'").selectExpr("_metadata.file_name").collect()}
+    kept, changed = files("2024-01-05"), files("2024-01-02")
+    zone.price(g1=11, g2=20)
+    run_daily(spark, settings, "2024-02-20")
+    assert files("2024-01-05") == kept and files("2024-01-02").isdisjoint(changed)
+    prices = {r.recommendationid: r.price_final_cny for r in wide().collect()}
+    assert prices == {"a": 11, "b": 11, "c": 20, "d": 20}
+
+
+def test_unreadable_pages_and_odd_times_are_kept(spark, zone, settings):
+    zone.price(g1=10)
+    odd = review("odd", "2024-01-20") | {"timestamp_updated": 10**14, "timestamp_created": -(10**13)}
+    zone.page("2024-01-20", 1, 1, [review("a", "2024-01-20"), odd])
+    (zone.reviews / "crawl_dt=2024-01-20" / "cut.json").write_text('{"appid": 1, "page": 2, "rev')
+    run_full(spark, settings, "2024-01-20")
+    assert ids(spark, settings, "ods_review") == ["a", "odd"]
+    counts = lambda: [(str(r.crawl_dt), r.pages) for r in spark.table(settings.table("intake")).collect()]
+    assert counts() == [("2024-01-20", 1)]
+    run_full(spark, settings, "2024-01-20")
+    assert counts() == [("2024-01-20", 1)]
+
+
+def test_own_label_rules(spark, zone, settings, tmp_path):
+    from dataclasses import replace
+
+    zone.price(g1=10)
+    zone.page("2024-01-20", 1, 1, [review("a", "2024-01-20", text="Very FAST"), review("b", "2024-01-20", text="Great GRAPHICS")])
+    run_full(spark, replace(settings, label_rules={"优化": ["fast"]}), "2024-01-20")
+    labels = lambda: {r.recommendationid: r.category for r in spark.table(settings.table("dwd_review")).collect()}
+    assert labels() == {"a": "优化", "b": "其他"}
+    run_full(spark, settings, "2024-01-20")
+    assert labels() == {"a": "其他", "b": "画面"}
+    rules = tmp_path / "rules.json"
+    rules.write_text('{"价格": ["cheap"]}')
+    args = parser().parse_args(f"full --reviews r --games g --checkpoint c --label-rules {rules}".split())
+    assert settings_from(args).label_rules == {"价格": ["cheap"]}
+
+
+def test_failed_game_table_is_an_error(spark, zone, settings, monkeypatch):
+    from shelfpulse.sinks import tables
+
+    zone.price(g1=10)
+
+    def fail(*args, **kwargs):
+        raise OSError("no space")
+
+    monkeypatch.setattr(tables, "replace_table", fail)
+    with pytest.raises(RuntimeError, match="backup"):
+        layers.load_games(spark, settings)
+    assert spark.read.option("header", True).csv(settings.csv_backup).count() == 1

@@ -30,10 +30,11 @@ from shelfpulse.operators.reviews import (
     flatten_games,
     flatten_reviews,
     latest_crawl,
+    newest_games,
     query_summary,
     valid_pages,
 )
-from shelfpulse.schemas import GAME, GAME_DATA, ODS_REVIEW, struct
+from shelfpulse.schemas import GAME, GAME_DATA, ODS_REVIEW, PAYLOAD_KEYS, struct
 from shelfpulse.sources import (
     from_rows,
     intact_pages,
@@ -78,8 +79,8 @@ def test_review_fields_absent_null_and_set(spark, tmp_path):
                 "votes_up": 5,
                 "weighted_vote_score": "0.5",
                 "timestamp_created": 1700000000,
-                "author": {"steamid": "s", "num_reviews": 4, "deck_playtime_at_review": 1.5},
-                "steam_purchase": True,
+                "author": {PAYLOAD_KEYS["id"]: "s", "num_reviews": 4, "deck_playtime_at_review": 1.5},
+                PAYLOAD_KEYS["bought"]: True,
                 "developer_response": "thanks",
             },
         ],
@@ -92,11 +93,11 @@ def test_review_fields_absent_null_and_set(spark, tmp_path):
     for row in (first, second):
         assert row.review == "" and row.voted_up is False and row.votes_up == 0
         assert row.votes_funny == 0 and row.comment_count == 0
-        assert row.steam_purchase is False and row.received_for_free is False
-        assert row.written_during_early_access is False and row.primarily_steam_deck is False
-        assert row.language is None and row.author_steamid is None
+        assert row.bought is False and row.received_for_free is False
+        assert row.written_during_early_access is False and row.on_handheld is False
+        assert row.language is None and row.author_id is None
         assert row.developer_response is None and row.created_date is None and row.dt is None
-    assert third.author_steamid == "s" and third.author_num_reviews == 4
+    assert third.author_id == "s" and third.author_num_reviews == 4
     assert third.author_deck_playtime_at_review == 1.5
     assert third.weighted_vote_score == 0.5 and third.votes_up == 5 and third.appid == 7
     assert third.created_date == "2023-11-14 22:13:20" and third.updated_date is None
@@ -230,7 +231,7 @@ def test_last_crawl_of_game_details(spark, tmp_path):
         land(tmp_path, f"crawl_dt={crawl}/g.json", [
             json.dumps({"1": {"success": True, "data": {"name": name}}})
         ])
-    assert values(flatten_games(read_game_details(spark, str(tmp_path))), "name") == [("new",)]
+    assert values(newest_games(read_game_details(spark, str(tmp_path))), "name") == [("new",)]
 
 
 def test_list_expressions(spark):
@@ -413,7 +414,7 @@ def test_clean_reviews_order(spark):
 
 # Figures
 
-SALES = "appid LONG, dt DATE, steam_purchase BOOLEAN, author_steamid STRING, voted_up BOOLEAN"
+SALES = "appid LONG, dt DATE, bought BOOLEAN, author_id STRING, voted_up BOOLEAN"
 DAY, NEXT = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
 
 
