@@ -13,6 +13,7 @@ from shelfpulse.operators.reviews import (
 from shelfpulse.queries.registry import query
 from shelfpulse.queries.standins import events, table, texts
 from shelfpulse.scratch import scratch_path
+from shelfpulse.functions.dates import epoch_to_text
 from shelfpulse.schemas import PAYLOAD_KEYS
 from shelfpulse.sources import (
     from_rows,
@@ -186,10 +187,13 @@ def paging_stop(spark, sf_dir):
     return valid_pages(pages, block=2).select("appid", "page", "cursor")
 
 
-def part_details(spark, sf_dir):
-    """Detail responses of all parts as JSON lines keyed by id; some fields are absent."""
+def part_details(spark, sf_dir, raised=0):
+    """Detail responses of all parts as JSON lines keyed by id; some fields are absent.
+
+    ``raised`` is added to the prices.
+    """
     size = F.col("p_size")
-    cents = F.round(F.col("p_retailprice") * 100).cast("bigint")
+    cents = F.round(F.col("p_retailprice") * 100).cast("bigint") + raised
     data = F.struct(
         F.col("p_name").alias("name"),
         F.array("p_brand").alias("developers"),
@@ -215,7 +219,7 @@ def part_details(spark, sf_dir):
     )
     detail = F.struct((size < 50).alias("success"), data.alias("data"))
     keyed = F.to_json(F.create_map(F.col("p_partkey").cast("string"), detail))
-    return table(spark, sf_dir, "part").select(keyed.alias("value"))
+    return table(spark, sf_dir, "part").select(keyed.alias("value"), "p_partkey")
 
 
 @query("""
@@ -235,7 +239,7 @@ FROM part WHERE p_size < 50
 """)
 def flatten_games(spark, sf_dir):
     path = scratch_path(spark, "details")
-    part_details(spark, sf_dir).write.text(path)
+    part_details(spark, sf_dir).select("value").write.text(path)
     return flatten_details(read_game_details(spark, path))
 
 
@@ -257,7 +261,8 @@ def seed_join(spark, sf_dir):
 
 @query("""
 SELECT k.label, e.event_type, count(*) AS reviews
-FROM events e JOIN (VALUES ('purchase', 'sale'), ('error', 'fault'), ('view', NULL))
+FROM events e JOIN (VALUES ('purchase', 'sale'), ('error', 'fault'), ('view', NULL),
+                           ('click', 'look'), ('signup', 'start'))
      k(event_type, label) ON e.event_type = k.event_type
 GROUP BY k.label, e.event_type
 """)
@@ -268,8 +273,24 @@ def typed_rows_join(spark, sf_dir):
             {"label": "sale", "event_type": "purchase"},
             {"event_type": "error", "label": "fault"},
             {"event_type": "view"},
+            {"event_type": "click", "label": "look"},
+            {"event_type": "signup", "label": "start"},
         ],
         "event_type STRING, label STRING",
     )
     reviews = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("reviews"))
     return reviews.join(kinds, "event_type").select("label", "event_type", "reviews")
+
+
+# Values beyond any calendar, as a review with a broken clock has them.
+BROKEN_SECONDS = 10**14
+
+
+@query(f"""
+SELECT event_id, CASE WHEN event_type <> 'view' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS shown
+FROM events
+""")
+def odd_epochs(spark, sf_dir):
+    seconds = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    odd = F.when(F.col("event_type") == "view", seconds + BROKEN_SECONDS).otherwise(seconds)
+    return table(spark, sf_dir, "events").select("event_id", epoch_to_text(odd).alias("shown"))

@@ -153,12 +153,14 @@ def preview_rows(spark, sf_dir):
 
 
 @query("""
-SELECT user_id, count(*) AS reviews FROM events
-WHERE event_type IN ('purchase', 'view', 'error') GROUP BY user_id
+SELECT user_id, count(*) AS reviews FROM events GROUP BY user_id
 """)
 def accumulate_batches(spark, sf_dir):
     source = table(spark, sf_dir, "events").select("user_id", "event_type")
-    batches = [source.where(F.col("event_type") == kind) for kind in ("purchase", "view", "error")]
+    kind = F.coalesce("event_type", F.lit(""))
+    first = ("purchase", "view", "error")
+    batches = [source.where(kind == name) for name in first]
+    batches.append(source.where(~kind.isin(*first)))
     return rows.accumulate(*batches).groupBy("user_id").agg(F.count("*").alias("reviews"))
 
 

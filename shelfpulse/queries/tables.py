@@ -77,13 +77,23 @@ def table_replace(spark, sf_dir):
 
 
 @query("""
-SELECT event_id, event_type FROM events WHERE event_type IN ('purchase', 'view')
+SELECT event_id, event_type FROM events
 """)
 def table_append(spark, sf_dir):
     name = f"{scratch_database(spark, 'append')}.batches"
     source = table(spark, sf_dir, "events").select("event_type", "event_id")
-    replace_table(source.where("event_type = 'purchase'"), name)
-    append_table(source.where("event_type = 'view'").select("event_id", "event_type"), name)
+    bought = F.coalesce(F.col("event_type") == "purchase", F.lit(False))
+    replace_table(source.where(bought), name)
+    append_table(source.where(~bought).select("event_id", "event_type"), name)
+    return read_table(spark, name)
+
+
+@query("SELECT p_partkey, p_name FROM part")
+def empty_guard(spark, sf_dir):
+    name = f"{scratch_database(spark, 'guard')}.game"
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    replace_table(part, name)
+    replace_table(part.where("p_partkey < 0"), name, skip_empty=True)
     return read_table(spark, name)
 
 

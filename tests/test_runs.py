@@ -281,7 +281,7 @@ def test_crawls_that_pile_up_lose_nothing(spark, zone, settings):
 def test_full_run_reads_what_it_marks(spark, zone, settings):
     zone.price(g1=10)
     zone.page("2024-01-20", 1, 1, [review("a", "2024-01-20"), review("nowhen", None)])
-    zone.page("2024-01-21", 1, 1, [review("b", "2024-01-21")])
+    zone.page("2024-01-21", 1, 1, [review("a", "2024-01-20"), review("b", "2024-01-21")])
     run_full(spark, settings, "2024-01-20")
     run_daily(spark, settings, "2024-01-21")
     assert ids(spark, settings, "ods_review") == ["a", "b", "nowhen"]
