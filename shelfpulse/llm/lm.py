@@ -2,8 +2,8 @@
 
 A word's probability is that of its class after the words before it, times that of the word
 in its class. The class comes from a softmax over sums of weights: one row of weights for each
-feature of the context, which are the three words before (n-gram and skip features) and a
-hashed pair. The word in its class goes by counts. Weights are trained by distributed gradient
+feature of the context: the word before and the hashed pair before (n-grams), and the word
+before that (a skip). The word in its class goes by counts. Weights are trained by distributed gradient
 updates: each round every task follows the gradient over its part of the training text, and
 the changes of all tasks are averaged. All training text is used once.
 
@@ -28,12 +28,12 @@ from shelfpulse.scratch import stage
 #: The end of a text, a token like a word.
 END_HASH, END_SUFFIX = np.uint64(0x452821E638D01377), 0
 #: Frequent words that tasks hold; of these, words with features and with classes of their own.
-HEAD, FEATURE_WORDS, CLASS_WORDS = 1 << 17, 8192, 32
+HEAD, FEATURE_WORDS, CLASS_WORDS = 1 << 17, 4096, 12
 #: Classes of other words: frequent last two bytes, and hashes of the rarer ones.
-SUFFIX_CLASSES, HASH_CLASSES = 80, 16
+SUFFIX_CLASSES, HASH_CLASSES = 28, 8
 CLASSES = CLASS_WORDS + SUFFIX_CLASSES + HASH_CLASSES
 #: Rows of weights: by position, words with features and hashes of others; hashed pairs.
-HASHED_WORDS, PAIRS, BEFORE = 1024, 1 << 14, 3
+HASHED_WORDS, PAIRS, BEFORE = 1024, 1 << 14, 2
 WORD_ROWS = FEATURE_WORDS + HASHED_WORDS + 1
 ROWS = BEFORE * WORD_ROWS + PAIRS
 #: Training: rounds, tokens of an update, step size.
@@ -128,8 +128,11 @@ def _train(weights: np.ndarray, bias: np.ndarray, groups) -> int:
             error = _softmax(weights, bias, rows)
             error[np.arange(len(kind)), kind] -= 1
             for own in rows:
-                order = np.argsort(own, kind="stable")
-                values, heads = np.unique(own[order], return_index=True)
+                # Rows number fewer than 65,536: short integers are sorted by their digits.
+                order = np.argsort(own.astype(np.uint16), kind="stable")
+                values = own[order]
+                heads = np.flatnonzero(np.diff(values, prepend=-1))
+                values = values[heads]
                 slope = np.add.reduceat(error[order], heads, axis=0)
                 squares[values] += np.einsum("ij,ij->i", slope, slope) / CLASSES
                 weights[values] -= RATE / np.sqrt(squares[values])[:, None] * slope
@@ -225,26 +228,18 @@ def _round(texts: DataFrame, vocabulary, weights: np.ndarray, bias: np.ndarray):
         if not seen:
             return
         own -= start
+        own_bias -= start_bias
         salt = int(own_bias.view(np.uint32)[0] & 0xFFFF)
-        for part, rows in enumerate(np.array_split(own, PARTS)):
-            yield pd.DataFrame(
-                {"part": [part], "salt": [salt], "n": [float(seen)], "change": [(rows * seen).tobytes()]}
-            )
-        change = ((own_bias - start_bias) * seen).astype(np.float32).tobytes()
-        yield pd.DataFrame({"part": [PARTS], "salt": [salt], "n": [float(seen)], "change": [change]})
+        parts = [*np.array_split(own, PARTS), own_bias]
+        for part, change in enumerate(parts):
+            yield _change(part, salt, float(seen), change)
 
     def summed(frame: pd.DataFrame) -> pd.DataFrame:
-        change = np.frombuffer(frame["change"].iat[0], np.float32).copy()
-        for other in frame["change"].iloc[1:]:
-            change += np.frombuffer(other, np.float32)
-        return pd.DataFrame(
-            {
-                "part": [frame["part"].iat[0]],
-                "salt": [frame["salt"].iat[0]],
-                "n": [frame["n"].sum()],
-                "change": [change.tobytes()],
-            }
-        )
+        """The mean of changes, each weighed by its tokens."""
+        total, weight = np.float32(0), frame["n"].sum()
+        for n, change in zip(frame["n"], frame["change"], strict=True):
+            total = total + np.frombuffer(change, np.float16) * np.float32(n / weight)
+        return _change(frame["part"].iat[0], frame["salt"].iat[0], weight, total)
 
     schema = "part int, salt int, n double, change binary"
     changes = stage(texts.select("t").mapInPandas(trained, schema), "lm-changes")
@@ -255,13 +250,17 @@ def _round(texts: DataFrame, vocabulary, weights: np.ndarray, bias: np.ndarray):
     partial = changes.groupBy("part", "salt").applyInPandas(summed, schema)
     done = partial.groupBy("part").applyInPandas(summed, schema).collect()
     given.destroy()
-    by_part = {
-        row["part"]: np.frombuffer(row["change"], np.float32) / np.float32(row["n"]) for row in done
-    }
+    by_part = {row["part"]: np.frombuffer(row["change"], np.float16) for row in done}
     if not by_part:
         return weights, bias
     change = np.concatenate([by_part[i] for i in range(PARTS)]).reshape(weights.shape)
-    return weights + change, bias + by_part[PARTS]
+    return weights + change.astype(np.float32), bias + by_part[PARTS].astype(np.float32)
+
+
+def _change(part: int, salt: int, n: float, change: np.ndarray) -> pd.DataFrame:
+    """A part of a change of the weights; half precision is enough for a step."""
+    data = change.astype(np.float16).tobytes()
+    return pd.DataFrame({"part": [part], "salt": [salt], "n": [n], "change": [data]})
 
 
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

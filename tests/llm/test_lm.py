@@ -69,7 +69,7 @@ def test_features_stay_inside_a_text():
     none = lm.WORD_ROWS - 1
     assert features[0].tolist() == [none, 5, 6, none]
     assert (features[1] - lm.WORD_ROWS).tolist() == [none, none, 5, none]
-    assert features[3][0] == features[3][3] != features[3][2]
+    assert features[2][0] == features[2][3] != features[2][2]
 
 
 def test_training_lowers_the_loss():
