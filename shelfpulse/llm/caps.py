@@ -26,11 +26,11 @@ from shelfpulse.llm.common import ship
 from shelfpulse.llm.components import components
 from shelfpulse.scratch import stage
 
-#: A pair at cosine 0.95 misses all filters of one rotation with a probability of about a
-#: tenth, of all rotations with 2e-5; closer pairs miss far less.
-ROTATIONS, FILTERS = 5, 20
-#: Vectors that a filter holds on average; sets the size of the codebooks.
-PER_FILTER = 64
+#: Rotations, and filters of each that a vector exceeds on average. Of pairs at cosine 0.95
+#: about one in two thousand shares none of them; closer pairs miss far less.
+ROTATIONS, FILTERS = 10, 4
+#: Vectors that a filter holds on average, at most; sets the size of the codebooks.
+PER_FILTER = 256
 #: Vectors on one side of a block.
 SIDE = 1024
 LEAST_DIMS = 64
@@ -81,7 +81,7 @@ class Caps:
 def _codewords(vectors: int) -> int:
     """A power of two with about ``PER_FILTER`` vectors for each filter."""
     size = 16
-    while size < 16_384 and size * size * PER_FILTER < vectors * FILTERS:
+    while size < 8192 and size * size * PER_FILTER < vectors * FILTERS:
         size *= 2
     return size
 
@@ -100,7 +100,9 @@ def near_vectors(
     row. Other columns are not read.
     """
     ship(vectors.sparkSession)
-    vec = F.col(vec_col).cast("array<double>")
+    kind = vectors.schema[vec_col].dataType.simpleString()
+    # Floats travel as floats: half the bytes, and the same values in double precision.
+    vec = F.col(vec_col).cast(kind if kind in ("array<float>", "array<double>") else "array<double>")
     finite = F.forall(
         vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     ) & F.exists(vec, lambda x: x != 0)
@@ -108,7 +110,7 @@ def near_vectors(
         F.col(id_col).cast("long").alias("vec_id"),
         F.when(F.coalesce(finite, F.lit(False)), vec).alias("vec"),
     )
-    rows = rows.withColumn("key", F.md5(F.col("vec").cast("string")))
+    rows = rows.withColumn("key", F.unhex(F.md5(F.col("vec").cast("string"))))
     ids = stage(rows.select("vec_id", "key"), "caps-rows")
     classes = stage(
         rows.where("key is not null")
@@ -162,15 +164,19 @@ def _compare(classes: DataFrame, least: float) -> DataFrame:
                             "key": own["key"].to_numpy(),
                             "vec": own["vec"].to_numpy(),
                             "copies": own["copies"].to_numpy(),
-                            "filters": filters,
-                            # One place to meet for all filters with one first codeword.
-                            "groups": [np.unique(f // codewords) + (dims << 32) for f in filters],
+                            "filters": [f.astype(np.int32) for f in filters],
+                            "groups": [f + (dims << 32) for f in filters],
                         }
                     )
 
-    schema = "key string, vec array<double>, copies long, filters array<long>, groups array<long>"
-    # Floats come back as they were given: half the bytes, no change of value.
-    told = stage(classes.mapInPandas(decoded, schema), "caps-decoded")
+    vec = classes.schema["vec"].dataType.simpleString()
+    told = stage(
+        classes.mapInPandas(
+            decoded,
+            f"key binary, vec {vec}, copies long, filters array<int>, groups array<long>",
+        ),
+        "caps-decoded",
+    )
     met = told.select("key", F.explode("groups").alias("group"))
     sizes = stage(
         met.groupBy("group")
@@ -183,10 +189,10 @@ def _compare(classes: DataFrame, least: float) -> DataFrame:
     full = members.join(told.drop("groups"), "key")
 
     def compared(frame: pd.DataFrame) -> pd.DataFrame:
-        return _block(frame, least, codewords)
+        return _block(frame, least)
 
     return full.groupBy("group", "low", "high").applyInPandas(
-        compared, "a string, b string, links long"
+        compared, "a binary, b binary, links long"
     )
 
 
@@ -197,19 +203,13 @@ def _units(vectors: pd.Series) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _block(frame: pd.DataFrame, least: float, codewords: int) -> pd.DataFrame:
-    """What one block adds: for each filter of its group, pairs that share it first there."""
+def _block(frame: pd.DataFrame, least: float) -> pd.DataFrame:
+    """What one block of one filter adds: its linked pairs that share no filter before it."""
     group, low, high = (frame[c].iat[0] for c in ("group", "low", "high"))
     frame = frame.sort_values("key", kind="stable")
     keys, side = frame["key"].tolist(), frame["side"].to_numpy()
     copies, filters = frame["copies"].to_numpy(), frame["filters"].tolist()
     units = _units(frame["vec"])
-    first = (int(group) & 0xFFFFFFFF) * codewords
-    inside = [f[np.searchsorted(f, first) : np.searchsorted(f, first + codewords)] for f in filters]
-    owner = np.repeat(np.arange(len(keys)), [len(f) for f in inside])
-    flat = np.concatenate(inside)
-    order = np.argsort(flat, kind="stable")
-    flat, owner = flat[order], owner[order]
     links = np.zeros(len(keys), np.int64)
     parent = np.arange(len(keys))
     out: list[tuple] = []
@@ -219,22 +219,12 @@ def _block(frame: pd.DataFrame, least: float, codewords: int) -> pd.DataFrame:
             parent[i] = i = parent[parent[i]]
         return i
 
-    cuts = np.flatnonzero(np.diff(flat)) + 1
-    for own, number in zip(np.split(owner, cuts), flat[np.append(0, cuts)], strict=True):
-        if low == high:
-            left = right = own
-        else:
-            left, right = own[side[own] == low], own[side[own] == high]
-        if not len(left) or not len(right) or len(own) < 2:
-            continue
-        near = units[left] @ units[right].T >= least
-        if low == high:
-            near = np.triu(near, 1)
-        p, q = np.nonzero(near)
-        if not len(p):
-            continue
+    left, right = np.flatnonzero(side == low), np.flatnonzero(side == high)
+    near = units[left] @ units[right].T >= least
+    p, q = np.nonzero(np.triu(near, 1) if low == high else near)
+    if len(p):
         p, q = left[p], right[q]
-        mine = ~_shared_before(filters, p, q, number)
+        mine = ~_shared_before(filters, p, q, int(group) & 0xFFFFFFFF)
         p, q = p[mine], q[mine]
         np.add.at(links, p, copies[q])
         np.add.at(links, q, copies[p])
@@ -244,8 +234,7 @@ def _block(frame: pd.DataFrame, least: float, codewords: int) -> pd.DataFrame:
                 parent[a] = b
                 out.append((keys[i], keys[j], None))
     out += [(keys[i], None, int(links[i])) for i in np.flatnonzero(links)]
-    result = pd.DataFrame(out, columns=["a", "b", "links"])
-    return result.astype({"links": "Int64"})
+    return pd.DataFrame(out, columns=["a", "b", "links"]).astype({"links": "Int64"})
 
 
 def _shared_before(filters: list, p: np.ndarray, q: np.ndarray, number: int) -> np.ndarray:
