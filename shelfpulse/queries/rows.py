@@ -166,8 +166,8 @@ def accumulate_batches(spark, sf_dir):
 
 # Words of the invented test texts, with labels of the fixed set.
 TEXT_RULES = {
-    "画面": ("the", "ouen"),
-    "剧情": ("tion", "eaux"),
+    "画面": ("The", "ouen"),
+    "剧情": ("TION", "eaux"),
     "玩法": ("und", "sch"),
     "音效": ("ando", "que"),
     "价格": ("price", "er"),
@@ -177,7 +177,7 @@ TEXT_RULES = {
 def _label_sql(text: str) -> str:
     """Most hits first, earlier label on a tie."""
     hits = {
-        label: " + ".join(f"CAST(contains({text}, '{word}') AS INTEGER)" for word in words)
+        label: " + ".join(f"CAST(contains(lower({text}), '{word.lower()}') AS INTEGER)" for word in words)
         for label, words in TEXT_RULES.items()
     }
     best = "greatest(" + ", ".join(hits.values()) + ")"
