@@ -217,7 +217,7 @@ def test_table_definition(spark, database):
     for _ in range(2):
         ensure_table(spark, name, GMV, comments=GMV_COMMENTS)
     described = {r.name: (r.dataType, r.description) for r in spark.catalog.listColumns(name)}
-    assert described["gmv"] == ("decimal(18,4)", "产品日度销售额GMV")
+    assert described["gmv"] == ("decimal(18,4)", GMV_COMMENTS["gmv"])
     for price in (1, 2):
         overwrite_from_sql(
             spark,
