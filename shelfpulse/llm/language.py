@@ -217,29 +217,38 @@ def held_out(id_col: str = "doc_id"):
 def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Network | None:
     """A network from labelled documents that are not held out, or none if there are none.
 
-    Of each language the documents with the smallest hashes of their text are taken, and of
-    each of them a part at a place that the hash decides.
+    Of each of the most frequent languages the documents with the smallest hashes are taken,
+    and of each of them a part at a place that the hash decides.
     """
     text = F.col(text_col)
     labelled = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & text.rlike(r"\p{L}"))
+    # Copies of a text get hashes of their own, so that no text can fill the sample.
     hashed = labelled.select(
         F.col(lang_col).cast("string").alias("lang"),
         text.alias("t"),
-        F.xxhash64(text).alias("h"),
+        F.xxhash64(text, F.col(id_col)).alias("h"),
     )
+    counts = labelled.groupBy(F.col(lang_col).cast("string").alias("lang")).count()
+    common = counts.orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    if not common:
+        return None
+    # A few times the wanted number passes by its hash, so that however many documents a
+    # language has, the ranking sees a bounded number of them.
+    share = F.create_map(
+        *[F.lit(x) for row in common for x in (row["lang"], 4 * DOCS_PER_LANGUAGE / row["count"])]
+    )
+    unit = F.pmod("h", F.lit(1 << 40)) / F.lit(float(1 << 40))
+    hashed = hashed.where(unit < share[F.col("lang")])
     begin = F.pmod("h", F.greatest(F.lit(1), F.length("t") - SAMPLE_CHARS + 1)) + 1
     cut = hashed.select("lang", "h", F.substring("t", begin.cast("int"), F.lit(SAMPLE_CHARS)).alias("t"))
     by_hash = Window.partitionBy("lang").orderBy("h", "t")
     sample = (
         cut.withColumn("rank", F.row_number().over(by_hash))
         .where(F.col("rank") <= DOCS_PER_LANGUAGE)
-        .orderBy("rank", "lang")
-        .limit(DOCS_PER_LANGUAGE * MOST_LANGUAGES)
+        .orderBy("rank", "lang", "t")
         .select("lang", "t")
         .collect()
     )
-    if not sample:
-        return None
     languages = sorted({row["lang"] for row in sample})
     network = Network(languages)
     labels = np.array([languages.index(row["lang"]) for row in sample])
