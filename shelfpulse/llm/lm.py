@@ -169,7 +169,7 @@ def _counted(texts: DataFrame) -> DataFrame:
                 held.append((values, counts, suffixes[first]))
                 size += len(values)
                 # Fewer rows leave the task if counts are merged as far as memory allows.
-                if size > 2_000_000:
+                if size > 600_000:
                     yield merged()
                     held, size = [], 0
         if held:
@@ -179,9 +179,30 @@ def _counted(texts: DataFrame) -> DataFrame:
     return words.groupBy("hash").agg(F.first("suffix").alias("suffix"), F.sum("c").alias("c"))
 
 
+def _head(counts: DataFrame) -> pd.DataFrame:
+    """The most frequent words, ``HEAD`` at most, in the order of their counts.
+
+    A histogram of the counts' logarithms tells which words are too many, so that no more
+    than the head leaves the executors, however many tasks hold counts.
+    """
+    step = F.floor(F.log2("c") * 64).cast("int")
+    steps = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words"))
+    steps = sorted(((r["step"], r["words"]) for r in steps.collect()), reverse=True)
+    words, least = 0, None
+    for number, more in steps:  # some four thousand at most, as counts have 64 bits
+        words += more
+        if words > HEAD:
+            break
+        least = number
+    if least is None:
+        return pd.DataFrame({"hash": [], "suffix": [], "c": []}, dtype=np.int64)
+    top = counts.where(step >= least).select("hash", "suffix", "c").toPandas()
+    return top.sort_values(["c", "hash"], ascending=[False, True], ignore_index=True)
+
+
 def _vocabulary(counts: DataFrame) -> Vocabulary:
     """The head of the counts, classes, and the logarithm of each class's mass."""
-    top = counts.orderBy(F.desc("c"), "hash").limit(HEAD).toPandas()
+    top = _head(counts)
     by_suffix = counts.groupBy("suffix").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v"))
     by_suffix = by_suffix.orderBy(F.desc("c"), "suffix").toPandas()  # 65,536 at most
     hashes = top["hash"].to_numpy(np.int64).view(np.uint64)

@@ -46,6 +46,17 @@ def test_words_beyond_the_head_meet_their_counts(spark, sf_dir, monkeypatch):
     check(spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60))
 
 
+def test_the_head_holds_the_most_frequent_words(spark, monkeypatch):
+    counts = spark.createDataFrame([(i, 0, 1 + i % 97) for i in range(5000)], "hash long, suffix long, c long")
+    for most in (0, 10, 60, 700, 10_000):
+        monkeypatch.setattr(lm, "HEAD", most)
+        top = lm._head(counts)
+        assert len(top) <= most and (most < 60 or len(top) > most * 0.5 or len(top) == 5000)
+        left = [1 + i % 97 for i in range(5000) if i not in set(top["hash"])]
+        assert not len(top) or not left or top["c"].min() > max(left)
+        assert top["c"].is_monotonic_decreasing
+
+
 def test_odd_rows(odd_docs, no_docs):
     check(odd_docs)
     assert scores(no_docs).count() == 0
