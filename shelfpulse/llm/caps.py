@@ -5,7 +5,8 @@ exceeds a threshold: the filter's cap of the sphere. Directions are random produ
 After a random rotation a vector is two halves, each half has a codebook of random unit
 vectors, and every pair of codewords is a filter, so that B + B inner products decide over
 B x B filters. Decoding lists a first codeword only if the best second one can still exceed
-the threshold. Several rotations make misses independent.
+the threshold. Several rotations make misses independent; the larger the codebooks, the more
+often one rotation misses a pair, so their number follows from a simulation of the threshold.
 
 Vectors that share a filter are compared in blocks, in double precision where it matters. A
 pair that shares several filters counts in the first of them only.
@@ -13,8 +14,9 @@ pair that shares several filters counts in the first of them only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from statistics import NormalDist
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,9 +28,14 @@ from shelfpulse.llm.common import ship
 from shelfpulse.llm.components import components
 from shelfpulse.scratch import stage
 
-#: Rotations, and filters of each that a vector exceeds on average. Of pairs at cosine 0.95
-#: about one in two thousand shares none of them; closer pairs miss far less.
+#: Least rotations, and filters of each that a vector exceeds on average.
 ROTATIONS, FILTERS = 10, 4
+#: Of pairs at the least cosine so many share no filter, at most; closer pairs miss far less.
+MISSED = 1 / 2000
+#: Pairs and rotations that tell how often one rotation misses a pair.
+TRIAL_PAIRS, TRIALS = 500, 8
+#: Bits of a filter's number in a group's; the dimension is above them.
+NUMBER_BITS = 40
 #: Vectors that a filter holds on average, at most; sets the size of the codebooks.
 PER_FILTER = 256
 #: Vectors on one side of a block.
@@ -40,24 +47,22 @@ SEED = 20
 class Caps:
     """The filters for vectors of one dimension."""
 
-    def __init__(self, dims: int, codewords: int):
+    def __init__(self, dims: int, codewords: int, turns: int = ROTATIONS):
         rng = np.random.default_rng([SEED, dims, codewords])
         unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
         self.codewords = codewords
         # Short vectors are turned into a space of more dimensions, in which inner products
         # with random directions spread alike whatever the vector.
-        space = max(dims + dims % 2, LEAST_DIMS)
+        space = _space(dims)
         self.half = space // 2
         self.turns = [
-            np.linalg.qr(rng.normal(size=(space, space)))[0][:dims] for _ in range(ROTATIONS)
+            np.linalg.qr(rng.normal(size=(space, space)))[0][:dims] for _ in range(turns)
         ]
         self.books = [
             [unit(rng.normal(size=(codewords, self.half))) for _ in range(2)]
-            for _ in range(ROTATIONS)
+            for _ in range(turns)
         ]
-        # An inner product with a random filter is close to normal, with variance 2 / space.
-        share = min(0.5, FILTERS / codewords**2)
-        self.least = (2 / space) ** 0.5 * NormalDist().inv_cdf(1 - share)
+        self.least = _threshold(space, min(0.5, FILTERS / codewords**2))
 
     def decode(self, units: np.ndarray) -> list[np.ndarray]:
         """For each unit vector all filters it exceeds, as sorted numbers."""
@@ -78,6 +83,66 @@ class Caps:
         return np.split(filters, np.searchsorted(owner[order], np.arange(1, n)))
 
 
+def _space(dims: int) -> int:
+    return max(dims + dims % 2, LEAST_DIMS)
+
+
+@lru_cache(maxsize=256)
+def _threshold(space: int, share: float) -> float:
+    """What a unit vector's inner product with a random filter exceeds with probability ``share``.
+
+    The product is sqrt(s) x + sqrt(1 - s) y, where s is the squared length of the first half
+    and x and y are components of random unit vectors of half the dimension. Its tail is
+    thinner than a normal one, so it is summed from the densities of s and x.
+    """
+    half = space // 2
+    reach = min(1.0, 12 / half**0.5)
+    x = np.linspace(-reach, reach, 4001)
+    density = np.maximum(1 - x * x, 0) ** ((half - 3) / 2)
+    density /= density.sum()
+    # From the far end, so that small probabilities keep their digits.
+    above = np.cumsum(density[::-1])[::-1] - density / 2
+    spread = 4 / (half + 1) ** 0.5
+    s = 0.5 + np.linspace(-min(0.5, spread), min(0.5, spread), 103)[1:-1]
+    weight = (4 * s * (1 - s)) ** (half / 2 - 1)
+    weight /= weight.sum()
+    low, high = 0.0, 2**0.5
+    for _ in range(40):
+        least = (low + high) / 2
+        rest = (least - np.sqrt(s)[:, None] * x) / np.sqrt(1 - s)[:, None]
+        tail = weight @ (np.interp(rest, x, above, left=1.0, right=0.0) @ density)
+        low, high = (least, high) if tail > share else (low, least)
+    return low
+
+
+@lru_cache(maxsize=4096)
+def rotations(dims: int, codewords: int, least: float) -> int:
+    """Rotations after which at most ``MISSED`` of the pairs at cosine ``least`` share no filter.
+
+    Rotations miss a pair independently, so their number follows from how often one does.
+    That is simulated, and two standard errors are added to it.
+    """
+    caps = Caps(dims, codewords, TRIALS)
+    rng = np.random.default_rng([SEED + 1, dims, codewords])
+    x = _lengthless(rng.normal(size=(TRIAL_PAIRS, dims)))
+    z = rng.normal(size=(TRIAL_PAIRS, dims))
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    least = min(least, 1.0)
+    y = x if dims == 1 or least == 1 else least * x + (1 - least**2) ** 0.5 * _lengthless(z)
+    met = np.zeros((TRIALS, TRIAL_PAIRS))
+    for pair, (a, b) in enumerate(zip(caps.decode(x), caps.decode(y), strict=True)):
+        met[np.intersect1d(a, b) // codewords**2, pair] = 1
+    each = 1 - met.mean(axis=1)
+    missed = each.mean() + 2 * (each.std() + 0.5 / TRIAL_PAIRS**0.5) / TRIALS**0.5
+    if missed >= 0.99:
+        raise ValueError(f"{codewords} codewords do not find pairs at cosine {least} in {dims} dimensions")
+    return max(ROTATIONS, math.ceil(math.log(MISSED) / math.log(missed)))
+
+
+def _lengthless(x: np.ndarray) -> np.ndarray:
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _codewords(vectors: int) -> int:
     """A power of two with about ``PER_FILTER`` vectors for each filter."""
     size = 16
@@ -149,6 +214,11 @@ def near_vectors(
 def _compare(classes: DataFrame, least: float) -> DataFrame:
     """Counts of links (a, null, links) and links that join components (a, b, null)."""
     codewords = _codewords(classes.count())
+    lengths = classes.select(F.size("vec").alias("dims")).distinct().collect()
+    turns = {row["dims"]: rotations(row["dims"], codewords, least) for row in lengths}
+    # Numbers of filters are short where they fit: they travel with every vector.
+    short = max(turns.values(), default=0) * codewords**2 < 1 << 31
+    number = np.int32 if short else np.int64
 
     def decoded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         caps: dict[int, Caps] = {}
@@ -157,15 +227,15 @@ def _compare(classes: DataFrame, least: float) -> DataFrame:
                 part = frame.iloc[at : at + 256]
                 for dims, own in part.groupby(part["vec"].map(len)):
                     if dims not in caps:
-                        caps[dims] = Caps(dims, codewords)
+                        caps[dims] = Caps(dims, codewords, turns[dims])
                     filters = caps[dims].decode(_units(own["vec"]))
                     yield pd.DataFrame(
                         {
                             "key": own["key"].to_numpy(),
                             "vec": own["vec"].to_numpy(),
                             "copies": own["copies"].to_numpy(),
-                            "filters": [f.astype(np.int32) for f in filters],
-                            "groups": [f + (dims << 32) for f in filters],
+                            "filters": [f.astype(number) for f in filters],
+                            "groups": [f + (dims << NUMBER_BITS) for f in filters],
                         }
                     )
 
@@ -173,7 +243,8 @@ def _compare(classes: DataFrame, least: float) -> DataFrame:
     told = stage(
         classes.mapInPandas(
             decoded,
-            f"key binary, vec {vec}, copies long, filters array<int>, groups array<long>",
+            f"key binary, vec {vec}, copies long, "
+            f"filters array<{'int' if short else 'long'}>, groups array<long>",
         ),
         "caps-decoded",
     )
@@ -224,7 +295,7 @@ def _block(frame: pd.DataFrame, least: float) -> pd.DataFrame:
     p, q = np.nonzero(np.triu(near, 1) if low == high else near)
     if len(p):
         p, q = left[p], right[q]
-        mine = ~_shared_before(filters, p, q, int(group) & 0xFFFFFFFF)
+        mine = ~_shared_before(filters, p, q, int(group) & ((1 << NUMBER_BITS) - 1))
         p, q = p[mine], q[mine]
         np.add.at(links, p, copies[q])
         np.add.at(links, q, copies[p])

@@ -1,6 +1,8 @@
 import numpy as np
+import pytest
 
-from shelfpulse.llm.caps import Caps, near_vectors
+from shelfpulse.llm import caps as caps_module
+from shelfpulse.llm.caps import FILTERS, Caps, near_vectors, rotations
 
 ROWS = "vec_id long, embedding array<float>, label int, key string, n_links string"
 
@@ -75,3 +77,32 @@ def test_recall_at_the_threshold():
     caps = Caps(64, 32)
     met = [len(np.intersect1d(a, b)) > 0 for a, b in zip(caps.decode(x), caps.decode(y), strict=True)]
     assert np.mean(met) >= 0.997
+
+
+@pytest.mark.parametrize("codewords", [128, 512, 2048])
+def test_recall_at_the_threshold_holds_as_codebooks_grow(codewords):
+    rng = np.random.default_rng(3)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    x = unit(rng.normal(size=(1500, 64)))
+    z = rng.normal(size=(1500, 64))
+    z = unit(z - (z * x).sum(1, keepdims=True) * x)
+    y = 0.95 * x + (1 - 0.95**2) ** 0.5 * z
+    turns = rotations(64, codewords, 0.95)
+    caps = Caps(64, codewords, turns)
+    found = [caps.decode(x), caps.decode(y)]
+    met = [len(np.intersect1d(a, b)) > 0 for a, b in zip(*found, strict=True)]
+    assert np.mean(met) >= 0.998
+    each = np.mean([len(f) for own in found for f in own]) / turns
+    assert abs(each - FILTERS) < 0.1 * FILTERS
+
+
+def test_links_of_a_table_with_large_codebooks(spark, monkeypatch):
+    monkeypatch.setattr(caps_module, "_codewords", lambda vectors: 2048)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(150, 64))
+    x = np.concatenate([x, x + rng.normal(size=x.shape) * 0.3])
+    vectors = [(i, [float(np.float32(v)) for v in row]) for i, row in enumerate(x)]
+    df = spark.createDataFrame([(i, v, 0, "k", "n") for i, v in vectors], ROWS)
+    expected = brute_force(vectors)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_vectors(df).collect()}
+    assert got == expected and sum(n for n, _ in expected.values()) > 100
