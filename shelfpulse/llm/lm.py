@@ -2,8 +2,8 @@
 
 A word's probability is that of its class after the words before it, times that of the word
 in its class. The class comes from a softmax over sums of weights: one row of weights for each
-feature of the context: the word before and the hashed pair before (n-grams), and the word
-before that (a skip). The word in its class goes by counts. Weights are trained by distributed gradient
+feature of the context: the word before and the hashed pair before (n-grams), and the two words
+before that (skips). The word in its class goes by counts. Weights are trained by distributed gradient
 updates: each round every task follows the gradient over its part of the training text, and
 the changes of all tasks are averaged. All training text is used once.
 
@@ -28,14 +28,16 @@ from shelfpulse.scratch import stage
 #: The end of a text, a token like a word.
 END_HASH, END_SUFFIX = np.uint64(0x452821E638D01377), 0
 #: Frequent words that tasks hold; of these, words with features and with classes of their own.
-HEAD, FEATURE_WORDS, CLASS_WORDS = 1 << 17, 4096, 12
+HEAD, FEATURE_WORDS, CLASS_WORDS = 1 << 17, 8192, 32
 #: Classes of other words: frequent last two bytes, and hashes of the rarer ones.
-SUFFIX_CLASSES, HASH_CLASSES = 28, 8
+SUFFIX_CLASSES, HASH_CLASSES = 80, 16
 CLASSES = CLASS_WORDS + SUFFIX_CLASSES + HASH_CLASSES
 #: Rows of weights: by position, words with features and hashes of others; hashed pairs.
-HASHED_WORDS, PAIRS, BEFORE = 1024, 1 << 14, 2
+HASHED_WORDS, PAIRS, BEFORE = 1024, 1 << 14, 3
 WORD_ROWS = FEATURE_WORDS + HASHED_WORDS + 1
 ROWS = BEFORE * WORD_ROWS + PAIRS
+#: Where the pair stands among a token's features: after the words that it is made of.
+PAIR = 2
 #: Training: rounds, tokens of an update, step size.
 ROUNDS, BATCH, RATE = 2, 4096, 0.3
 #: Rows of weights that are summed together.
@@ -92,17 +94,18 @@ def _with_ends(hashes: np.ndarray, offsets: np.ndarray, suffixes: np.ndarray):
 
 
 def _features(row: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Rows of weights of each token's context, by position before it and for the pair."""
+    """Rows of weights of each token's context: the two words before it, their pair, and the
+    words before those."""
     n = len(row)
     place = np.arange(n) - np.repeat(offsets[:-1], np.diff(offsets))
     out = np.empty((BEFORE + 1, n), np.int64)
     for k in range(1, BEFORE + 1):
         before = np.full(n, WORD_ROWS - 1)
         before[k:] = np.where(place[k:] >= k, row[:-k] if k < n else 0, WORD_ROWS - 1)
-        out[k - 1] = before + (k - 1) * WORD_ROWS
+        out[k - 1 if k <= PAIR else k] = before + (k - 1) * WORD_ROWS
     factors = numbers(2, 17)
     pair = out[0].astype(np.uint64) * factors[0] + out[1].astype(np.uint64) * factors[1]
-    out[BEFORE] = BEFORE * WORD_ROWS + (mix(pair) % np.uint64(PAIRS)).astype(np.int64)
+    out[PAIR] = BEFORE * WORD_ROWS + (mix(pair) % np.uint64(PAIRS)).astype(np.int64)
     return out
 
 

@@ -93,3 +93,20 @@ def test_training_lowers_the_loss():
     p = _softmax(weights, bias, features[:, :500])
     assert np.allclose(p.sum(axis=1), 1, atol=1e-4)
     assert np.log(p[np.arange(500), kinds[:500]]).mean() > -1
+
+
+def test_the_third_word_before_tells():
+    """A class that only the third word before decides is learned."""
+    rng = np.random.default_rng(1)
+    row = rng.integers(0, 20, 40_000)
+    offsets = np.arange(0, 40_001, 40)
+    features = _features(row, offsets)
+    place = np.arange(len(row)) % 40
+    kinds = np.where(place >= 3, np.roll(row, 3) * 5, 0) % lm.CLASSES
+    weights, bias = np.zeros((lm.ROWS, lm.CLASSES), np.float32), np.zeros(lm.CLASSES, np.float32)
+    _train(weights, bias, [(features, kinds)] * 3)
+    p = _softmax(weights, bias, features[:, :2000])
+    assert np.log(p[np.arange(2000), kinds[:2000]]).mean() > -1
+    none = 3 * lm.WORD_ROWS - 1
+    own = _features(np.array([5, 6, 7, 8, 9]), np.array([0, 4, 5]))
+    assert own[3].tolist() == [none, none, none, 5 + 2 * lm.WORD_ROWS, none]
