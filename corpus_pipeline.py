@@ -33,7 +33,7 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return without_contaminated(
-        docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+        docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), short=True
     )
 
 

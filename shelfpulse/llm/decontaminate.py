@@ -4,6 +4,8 @@ A test item may differ from its copy in a document by an error budget of k edits
 pieces of the item at least one is then copied unchanged, so every copy is found at exact hits
 of pieces. One automaton finds all pieces of all items in one pass over a text, and the places
 where hits say an item may lie are verified with Myers' bit-parallel edit distance.
+Short items are ordinary phrases under edits: if asked for, they are
+found without a budget, and only between word boundaries.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from shelfpulse.scratch import stage
 
 #: Edits allowed for each character of an item.
 ERROR_RATE = 0.08
-#: Items of fewer characters are ordinary phrases and are not searched for.
+#: Items of fewer characters are found without edits, as whole words, and only if asked for.
 LEAST_CHARS = 32
 #: Characters of items that are searched for at once.
 BLOCK_CHARS = 4_000_000
@@ -35,9 +37,15 @@ def plain(text: str) -> str:
 class Matcher:
     """Finds a block of items in texts."""
 
-    def __init__(self, items: list[tuple], rate: float = ERROR_RATE):
+    def __init__(
+        self, items: list[tuple], rate: float = ERROR_RATE, least_chars: int = LEAST_CHARS
+    ):
         self.items = [(item_id, plain(text)) for item_id, text in items]
-        self.budgets = [int(len(text) * rate) for _, text in self.items]
+        self.items = [x for x in self.items if x[1]]
+        self.least_chars = least_chars
+        self.budgets = [
+            int(len(text) * rate) if len(text) >= least_chars else 0 for _, text in self.items
+        ]
         places: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for number, (_, text) in enumerate(self.items):
             for begin, end in pieces(len(text), self.budgets[number]):
@@ -56,10 +64,15 @@ class Matcher:
             return []
         text = plain(text)
         begins: dict[int, set[int]] = defaultdict(set)
+        short: dict[int, int] = {}
         for at, where in self.automaton.iter(text):
             for number, end in where:
-                begins[number].add(at + 1 - end)
-        out = []
+                item = self.items[number][1]
+                if len(item) >= self.least_chars:
+                    begins[number].add(at + 1 - end)
+                elif number not in short and _apart(text, at + 1 - end, at + 1):
+                    short[number] = at + 1
+        out = [(self.items[number][0], 0, 0, end) for number, end in short.items()]
         for number, found in begins.items():
             item_id, item = self.items[number]
             budget, best = self.budgets[number], None
@@ -73,6 +86,12 @@ class Matcher:
         return out
 
 
+def _apart(text: str, begin: int, end: int) -> bool:
+    """Whether no word goes on across the begin or the end of a part of a text."""
+    within = lambda at: 0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum()
+    return not within(begin) and not within(end)
+
+
 def pieces(size: int, budget: int) -> list[tuple[int, int]]:
     """Begins and ends of budget + 1 pieces of nearly equal length."""
     n = budget + 1
@@ -127,6 +146,7 @@ def contaminated(
     rate: float = ERROR_RATE,
     least_chars: int = LEAST_CHARS,
     block_chars: int = BLOCK_CHARS,
+    short: bool = False,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -137,14 +157,15 @@ def contaminated(
     the row tells the least distance and where that part ends. Items are read in blocks of
     bounded size, each one pass over the texts; whole texts are searched.
 
-    Null and empty texts hold no item. Items that are null or shorter than ``least_chars``
-    are not searched for. Repeated items and documents each give their rows; null ids stay.
+    Null and empty texts hold no item. Items shorter than ``least_chars`` are searched for
+    with ``short`` only: without edits, where neither end lies within a word. Items that are
+    null or blank are not searched for. Repeated items and documents each give their rows; null ids stay.
     Empty tables give no row. Other columns of both tables are not read.
     """
     ship(docs.sparkSession)
-    out = _search(docs.limit(0), [], rate, id_col, text_col)
-    for block, held in enumerate(_blocks(benchmark, least_chars, block_chars)):
-        found = _search(docs, held, rate, id_col, text_col)
+    out = _search(docs.limit(0), [], rate, least_chars, id_col, text_col)
+    for block, held in enumerate(_blocks(benchmark, 1 if short else least_chars, block_chars)):
+        found = _search(docs, held, rate, least_chars, id_col, text_col)
         out = out.unionByName(found) if block else found
     return out
 
@@ -155,6 +176,7 @@ def without_contaminated(
     rate: float = ERROR_RATE,
     least_chars: int = LEAST_CHARS,
     block_chars: int = BLOCK_CHARS,
+    short: bool = False,
     text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` in which no item is found, with all their columns.
@@ -164,16 +186,16 @@ def without_contaminated(
     case. Null and empty texts stay.
     """
     ship(docs.sparkSession)
-    for held in _blocks(benchmark, least_chars, block_chars):
-        leaks = _judge(docs.sparkSession.sparkContext.broadcast(held), rate)
+    for held in _blocks(benchmark, 1 if short else least_chars, block_chars):
+        leaks = _judge(docs.sparkSession.sparkContext.broadcast(held), rate, least_chars)
         docs = docs.where(~leaks(F.col(text_col).cast("string")))
     return docs
 
 
-def _judge(given, rate: float):
+def _judge(given, rate: float, least_chars: int):
     @F.pandas_udf("boolean")
     def leaks(texts: pd.Series) -> pd.Series:
-        matcher = Matcher(given.value, rate)
+        matcher = Matcher(given.value, rate, least_chars)
         return pd.Series([bool(x) and bool(matcher.find(x)) for x in texts], dtype=bool)
 
     return leaks
@@ -193,11 +215,13 @@ def _blocks(benchmark: DataFrame, least_chars: int, block_chars: int) -> Iterato
         yield [x for x in held if len(plain(x[1])) >= least_chars]
 
 
-def _search(docs: DataFrame, items: list[tuple], rate: float, id_col: str, text_col: str):
+def _search(
+    docs: DataFrame, items: list[tuple], rate: float, least_chars: int, id_col: str, text_col: str
+):
     given = docs.sparkSession.sparkContext.broadcast(items)
 
     def matched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matcher = Matcher(given.value, rate)
+        matcher = Matcher(given.value, rate, least_chars)
         for frame in frames:
             rows = [
                 (doc_id, *hit)

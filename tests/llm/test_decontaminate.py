@@ -99,3 +99,19 @@ def test_empty_tables(spark, odd_docs, no_docs, empty):
     items = items.limit(0) if empty == "items" else items
     assert contaminated(docs, items).count() == 0
     assert without_contaminated(docs, items).count() == docs.count()
+
+
+def test_short_items_are_found_as_whole_words(spark):
+    items = spark.createDataFrame(
+        [(1, "The answer is 42", 1), (2, "cat", 1), (3, " ", 1), (4, "", 1), (5, None, 1), (6, "(x)", 1)], ITEM
+    )
+    docs = spark.createDataFrame(
+        [(1, "so the  ANSWER is 42."), (2, "the answer is 421"), (3, "the answer was 42"), (4, "concat cats"),
+         (5, "concat cat"), (6, "f(x)"), (7, None), (8, "")],
+        "doc_id long, text string",
+    )
+    got = sorted(tuple(r) for r in contaminated(docs, items, short=True).collect())
+    assert got == [(1, 1, 0, 0, 19), (5, 2, 0, 0, 10), (6, 6, 0, 0, 4)]
+    clean = without_contaminated(docs, items, short=True).collect()
+    assert sorted(r["doc_id"] for r in clean) == [2, 3, 4, 7, 8]
+    assert contaminated(docs, items).count() == 0
