@@ -6,13 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfpulse.llm import queries_caps, queries_chat, queries_decontaminate, queries_language, queries_lm, queries_minhash, queries_mix, queries_shard, queries_tokens, queries_warc
+from shelfpulse.llm import (
+    queries_caps,
+    queries_chat,
+    queries_decontaminate,
+    queries_infill,
+    queries_language,
+    queries_lm,
+    queries_minhash,
+    queries_mix,
+    queries_quality,
+    queries_search,
+    queries_shard,
+    queries_tokens,
+    queries_warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 LLM_QUERIES: dict[str, Query] = {}
 LLM_ORACLES: dict[str, str] = {}
 
-for module in (queries_language, queries_tokens, queries_minhash, queries_warc, queries_lm, queries_decontaminate, queries_caps, queries_shard, queries_chat, queries_mix):
+for module in (
+    queries_language,
+    queries_tokens,
+    queries_minhash,
+    queries_warc,
+    queries_lm,
+    queries_decontaminate,
+    queries_caps,
+    queries_shard,
+    queries_chat,
+    queries_mix,
+    queries_quality,
+    queries_infill,
+    queries_search,
+):
     LLM_QUERIES.update(module.QUERIES)
     LLM_ORACLES.update(module.ORACLES)

@@ -1,0 +1,141 @@
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shelfpulse.llm import search as module
+from shelfpulse.llm.search import Best, Block, Query, search, terms_of
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def slow_terms(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return TERM.findall(low)
+
+
+def slow_search(docs, items, k=20):
+    """Scores of all documents, from the formula."""
+    read = [(doc_id, Counter(slow_terms(text))) for doc_id, text in docs]
+    sizes = [sum(c.values()) for _, c in read]
+    total, length = sum(n > 0 for n in sizes), sum(sizes)
+    df = Counter(t for _, c in read for t in c)
+    out = []
+    for item_id, text in items:
+        rows = []
+        for (doc_id, counts), n in zip(read, sizes, strict=True):
+            score = 0
+            for t, times in Counter(slow_terms(text)).items():
+                tf = counts[t]
+                if tf:
+                    w = math.floor(1000 * math.log((2 * total + 2) / (2 * df[t] + 1)))
+                    m = 75 + 25 * n * total // length
+                    score += times * w * (1_000_000_000 * tf // (1000 * tf + 12 * m))
+            if score > 0:
+                rows.append((-score, doc_id is None, doc_id or 0))
+        for rank, (less, none, doc_id) in enumerate(sorted(rows)[:k], 1):
+            out.append((item_id, rank, None if none else doc_id, -less))
+    return Counter(out)
+
+
+def found(df):
+    assert df.columns == ["item_id", "rank", "doc_id", "score"]
+    return Counter(tuple(r) for r in df.collect())
+
+
+@pytest.mark.parametrize("size", [5, 16, 4 << 20])
+def test_terms(monkeypatch, size):
+    monkeypatch.setattr(module, "SLICE", size)
+    for text in ("", "a", " ,", "Éa-B_c\x00d42 日本,\n" * 9, "x" * 100 + " y", "one two" * 7):
+        got = [t.decode() for part in terms_of(text.encode()) for t in part]
+        assert got == slow_terms(text)
+
+
+@pytest.mark.parametrize("window, short", [(8, 4), (64, 1), (4096, 32), (8, 10_000)])
+def test_blocks_against_all_sums(monkeypatch, window, short):
+    """Skipping and accumulators lose nothing, whatever the lists' lengths, ties included."""
+    monkeypatch.setattr(module, "WINDOW", window)
+    monkeypatch.setattr(module, "SHORT_SHARE", short)
+    rng = np.random.default_rng(window)
+    for _ in range(15):
+        docs, terms = int(rng.integers(1, 300)), 9
+        there = rng.random((docs, terms)) < rng.random(terms) ** 2
+        doc, term = np.nonzero(there)
+        impact = rng.integers(1, 6, len(doc)) * 10
+        ids = np.sort(rng.choice(10_000, docs, replace=False)).tolist()
+        block = Block(ids, doc, term.astype(np.int32), impact)
+        weights = rng.integers(0, 5, terms)
+        times = rng.integers(1, 3, terms)
+        sums = np.zeros(docs, np.int64)
+        np.add.at(sums, doc, impact * weights[term] * times[term])
+        best = Best(7)
+        best.rows = [(-int(sums.max()) // 2, 5_000)] * int(rng.integers(0, 8))
+        expected = sorted([*best.rows, *((-int(s), i) for s, i in zip(sums, ids, strict=True) if s > 0)])[:7]
+        block.search(Query(0, tuple(range(terms)), tuple(times.tolist())), weights, best)
+        assert best.rows == expected
+
+
+def test_windows_and_lookups_are_skipped(monkeypatch):
+    """Once the best are known, a common term's list is not read where it cannot matter."""
+    monkeypatch.setattr(module, "WINDOW", 16)
+    docs = 1600
+    doc = np.r_[np.arange(docs), np.arange(40)]
+    term = np.r_[np.zeros(docs, int), np.ones(40, int)]
+    block = Block(list(range(docs)), doc, term, np.full(len(doc), 10))
+    seen = []
+    lookup = module.List.lookup
+    monkeypatch.setattr(module.List, "lookup", lambda self, w, d: seen.append(w) or lookup(self, w, d))
+    add = Best.add
+    monkeypatch.setattr(Best, "add", lambda self, s, i, n: seen.append(-1) or add(self, s, i, n))
+    best = Best(20)
+    block.search(Query(0, (0, 1), (1, 1)), np.array([1, 50]), best)
+    assert [d for _, d in best.rows] == list(range(20))
+    assert len(seen) < 10
+
+
+def corpus(rng, n):
+    common, rare = ["the", "of", "and", "IN"], [f"w{i}" for i in range(60)]
+    for i in range(n):
+        words = rng.choice(common, int(rng.integers(0, 12))).tolist() + rng.choice(rare, int(rng.integers(0, 5))).tolist()
+        yield i, " ".join(rng.permutation(words).tolist())
+
+
+def test_against_the_formula(spark, monkeypatch, odd_docs):
+    rng = np.random.default_rng(4)
+    docs = [(i + 1000, t) for i, t in corpus(rng, 700)] + [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
+    docs += [(5000, "the of w1 w2")] * 30 + [(None, "w1 w2 w1")] * 3
+    items = [(i, t) for i, t in corpus(rng, 30)] + [(1, "two words"), (1, "two words"), (90, None), (91, ""), (None, "wort THE the é"), (92, "nowhere")]
+    given = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    given = given.withColumns({c: F.lit(1) for c in ("id", "n", "terms", "score", "rank", "t")})
+    asked = spark.createDataFrame(items, "item_id long, text string").withColumn("query", F.lit(2))
+    expected = slow_search(docs, items)
+    assert found(search(given, asked)) == expected
+    # Tasks ship this module's own numbers, so small blocks are set through many tasks.
+    assert found(search(given.repartition(60), asked)) == expected
+    monkeypatch.setattr(module, "BLOCK_CHARS", 60)
+    assert found(search(given, asked)) == expected
+
+
+def test_other_ids_and_k(spark):
+    docs = spark.createDataFrame([("b", "x y"), ("a", "x y"), ("c", "x x"), ("d", "z")], "key string, body string")
+    items = spark.createDataFrame([("q", "x")], "name string, words string")
+    rows = search(docs, items, 2, "key", "body", "name", "words").collect()
+    assert [(r["item_id"], r["rank"], r["doc_id"]) for r in rows] == [("q", 1, "c"), ("q", 2, "a")]
+
+
+def test_empty_tables(spark, odd_docs, no_docs):
+    items = spark.createDataFrame([(1, "two words"), (2, None)], "item_id long, text string")
+    assert search(no_docs, items).count() == 0
+    assert search(odd_docs, items.where("false")).count() == 0
+    assert search(odd_docs, items.where("text is null")).count() == 0
+    assert search(odd_docs.where("text is null"), items).count() == 0
+
+
+def test_only_the_best_are_shuffled(spark, sf_dir):
+    docs, items = (spark.read.parquet(f"{sf_dir}/{x}.parquet") for x in ("documents", "benchmark"))
+    plan = search(docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert plan.count("MapInArrow") == 1 and "text" not in plan
