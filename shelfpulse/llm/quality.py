@@ -11,6 +11,7 @@ updates, and a score is the logistic function of a sparse dot product.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,7 @@ from shelfpulse.llm.words import mix, numbers
 BITS = 18
 BUCKETS = 1 << BITS
 #: The bound of the training sample: documents of each label, characters of each document.
-DOCS_PER_LABEL, SAMPLE_CHARS = 2_000, 8_192
+DOCS_PER_LABEL, SAMPLE_CHARS = 2_000, 4_096
 ALPHA, BETA, L1, L2, EPOCHS, SEED = 0.5, 1.0, 0.002, 0.002, 6, 1
 THRESHOLD = 0.7
 #: Bytes whose features are made together.
@@ -172,14 +173,12 @@ class Regression:
         For each weight, z sums the gradients less what they have moved, n their squares. The
         weight follows from both: zero while z is within L1, else towards the other side.
         """
-        text, bucket, value = features(texts)
-        edge = np.searchsorted(text, np.arange(len(texts) + 1))
+        examples = [x for at in range(0, len(texts), 100) for x in _examples(texts[at : at + 100])]
         z, n = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
         rng = np.random.default_rng(SEED)
         for _ in range(EPOCHS):
             for i in rng.permutation(len(texts)).tolist():
-                at = np.append(bucket[edge[i] : edge[i + 1]], BUCKETS)
-                x = np.append(value[edge[i] : edge[i + 1]], 1.0)
+                at, x = examples[i]
                 w = _leader(z[at], n[at])
                 p = 1 / (1 + np.exp(-np.clip(w @ x, -30, 30)))
                 g = (p - labels[i]) * importance[i] * x
@@ -194,6 +193,19 @@ class Regression:
         return 1 / (1 + np.exp(-np.clip(dots + self.weights[-1], -30, 30)))
 
 
+def _examples(texts: Sequence[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Places and values of each text's weights, the constant among them."""
+    text, bucket, value = features(texts)
+    edge = np.searchsorted(text, np.arange(len(texts) + 1))
+    return [
+        (
+            np.append(bucket[a:b], BUCKETS).astype(np.int32),
+            np.append(value[a:b], 1.0).astype(np.float32),
+        )
+        for a, b in zip(edge[:-1], edge[1:], strict=True)
+    ]
+
+
 def _leader(z: np.ndarray, n: np.ndarray) -> np.ndarray:
     """The weights that regularised past gradients favour."""
     shrunk = np.sign(z) * np.maximum(np.abs(z) - L1, 0)
@@ -232,12 +244,10 @@ def learn(
     # A few times the wanted number passes by its hash, so the ranking sees a bounded number.
     share = F.create_map(*[F.lit(x) for y, n in counts.items() for x in (y, 4 * DOCS_PER_LABEL / n)])
     unit = F.pmod("h", F.lit(1 << 40)) / F.lit(float(1 << 40))
-    by_hash = Window.partitionBy("y").orderBy("h", "id")
-    chosen = (
-        known.where(unit < share[F.col("y")])
-        .withColumn("rank", F.row_number().over(by_hash))
-        .where(F.col("rank") <= DOCS_PER_LABEL)
-        .select("id", "y", "h")
+    few = known.where(unit < share[F.col("y")])
+    chosen = reduce(
+        DataFrame.unionByName,
+        [few.where(F.col("y") == y).orderBy("h", "id").limit(DOCS_PER_LABEL) for y in counts],
     )
     # At most DOCS_PER_LABEL rows of each label, a proven bound.
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
