@@ -29,7 +29,11 @@ def parser() -> argparse.ArgumentParser:
     common.add_argument("--dedup-keys", nargs="+", help="keep one review for each key")
     common.add_argument("--required", nargs="+", help="columns without which a review goes")
     common.add_argument("--rules", help="JSON file: name and SQL condition of each quality rule")
+    common.add_argument(
+        "--known-games-only", action="store_true", help="quarantine reviews of unknown games"
+    )
     common.add_argument("--label-rules", help="JSON file: label and its words")
+    common.add_argument("--payload-keys", help="JSON file: column and its key in landed reviews")
     common.add_argument("--csv-backup", help="folder for the game list if its table fails")
     common.add_argument("--jdbc-url")
     common.add_argument("--jdbc-user")
@@ -73,9 +77,11 @@ def settings_from(args: argparse.Namespace) -> Settings:
         dedup_keys=args.dedup_keys,
         required=args.required or REQUIRED_REVIEW_COLUMNS,
         quality_rules=_json(args.rules) or {},
+        known_games_only=args.known_games_only,
         label_rules=_json(args.label_rules),
         csv_backup=args.csv_backup,
         export=export,
+        payload_keys=_json(args.payload_keys) or {},
     )
 
 

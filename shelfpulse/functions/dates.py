@@ -81,6 +81,12 @@ class DayWindow:
         lower = column >= F.lit(self.first)
         return lower if self.last is None else lower & (column <= F.lit(self.last))
 
+    def listed(self) -> list[dt.date]:
+        """All days of a window with an end."""
+        if self.last is None:
+            raise ValueError("the window has no end")
+        return [self.first + dt.timedelta(n) for n in range((self.last - self.first).days + 1)]
+
     def includes(self, day: dt.date) -> bool:
         return self.first <= day and (self.last is None or day <= self.last)
 
@@ -95,5 +101,8 @@ class Days:
         """A list of values, so that it prunes partitions."""
         return _col(day).isin(sorted(self.days)) if self.days else F.lit(False)
 
+    def listed(self) -> list[dt.date]:
+        return sorted(self.days)
+
     def includes(self, day: dt.date) -> bool:
         return day in self.days

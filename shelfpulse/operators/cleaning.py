@@ -29,12 +29,13 @@ def clean_reviews(
     ods: DataFrame,
     required: Sequence[str] | None = REQUIRED_REVIEW_COLUMNS,
     label: Callable[[Column | str], Column] = label_by_rules,
+    distinct: Callable[[DataFrame], DataFrame] = distinct_rows,
 ) -> DataFrame:
     """Collapse duplicates, clean, drop incomplete rows, label.
 
     The clean text follows from the raw one, so it is added after the shuffle of the
     duplicate test and not carried through it. ``required=None`` asks for a value in
-    every column.
+    every column. ``distinct`` is the way to collapse duplicates.
     """
-    whole = drop_nulls(add_clean_content(distinct_rows(ods)), required)
+    whole = drop_nulls(add_clean_content(distinct(ods)), required)
     return classify(whole, label)

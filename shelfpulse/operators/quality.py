@@ -9,6 +9,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfpulse.operators.bloom import MOST_WORDS, bloom_filter, may_hold, words_for
+from shelfpulse.scratch import stage
+
 
 @dataclass(frozen=True)
 class Checked:
@@ -79,6 +82,49 @@ def check(
     )
 
 
+def missing_keys(fact: DataFrame, dimension: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of ``fact`` that the dimension does not have, each once; null parts are no fault.
+
+    Both sides meet as distinct keys, so a hot key costs a row of each task.
+    """
+    asked = fact.select(*keys).dropna().distinct()
+    return asked.join(dimension.select(*keys).distinct(), list(keys), "left_anti")
+
+
+def check_references(
+    fact: DataFrame,
+    dimension: DataFrame,
+    keys: Sequence[str],
+    rule: str,
+    most_words: int = MOST_WORDS,
+) -> Checked:
+    """Split rows by whether the dimension has their key, like a foreign key constraint.
+
+    The keys that are missing make a Bloom filter of at most ``most_words`` words, which
+    every row is tested against where it is. Rows of known keys go straight through; only
+    rows that may be orphans are compared with the missing keys themselves. Orphans go to
+    quarantine under the name of the rule; a key with a null part breaks no rule.
+
+    ``fact`` is read for its keys and for the rows of either side; pass a table.
+    """
+    keys = list(keys)
+    hashed = F.xxhash64(*keys)
+    missing = stage(missing_keys(fact, dimension, keys).withColumn("_hash", hashed), "missing")
+    words = words_for(missing.count(), most_words)
+    suspect = may_hold(bloom_filter(missing.select("_hash"), words), hashed, words)
+    maybe, names = fact.where(suspect), missing.select(*keys)
+    orphans = maybe.join(names, keys, "left_semi").select(*fact.columns)
+    cleared = maybe.join(names, keys, "left_anti").select(*fact.columns)
+    failed = orphans.agg(F.count("*")).scalar()
+    return Checked(
+        good=fact.where(~suspect).unionByName(cleared),
+        quarantine=orphans.withColumn("broken_rules", F.array(F.lit(rule))),
+        report=fact.agg(
+            F.lit(rule).alias("rule"), F.count("*").alias("checked_rows")
+        ).withColumn("failed_rows", failed),
+    )
+
+
 def _unique_rule(keys: Sequence[str]) -> str:
     return "unique_" + "_".join(keys)
 

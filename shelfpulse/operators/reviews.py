@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,7 +12,8 @@ from shelfpulse.functions.dates import created_day, epoch_to_text
 from shelfpulse.functions.text import enabled_keys, join_field, join_list
 from shelfpulse.operators.joins import join_same
 from shelfpulse.operators.rows import conform, successful, with_defaults
-from shelfpulse.schemas import AUTHOR, GAME, ODS_REVIEW, PAYLOAD_KEYS, REVIEW
+from shelfpulse.schemas import AUTHOR, GAME, ODS_REVIEW, PAGE_ENTRY, REVIEW
+from shelfpulse.sources.landing import readable_page
 
 # What a missing review field means; other fields stay null.
 REVIEW_DEFAULTS = {
@@ -37,6 +38,39 @@ SUMMARY_DEFAULTS = {
 }
 
 
+def page_entries(pages: DataFrame) -> DataFrame:
+    """What the manifest keeps of landed pages: an entry for each page of a file.
+
+    ``pages`` carry the file they come from. A line that cannot be read gives an entry that
+    is not ``readable``. A page that is there twice in a file is one entry.
+    """
+    readable = readable_page()
+    days = F.when(readable, F.transform("reviews", lambda r: created_day(r["timestamp_created"])))
+    lines = pages.select(
+        "file",
+        "modified",
+        "crawl_dt",
+        "appid",
+        "page",
+        readable.alias("readable"),
+        F.when(readable, F.coalesce("cursor", F.lit(FIRST_CURSOR))).alias("cursor"),
+        F.when(readable, F.coalesce(F.size("reviews"), F.lit(0))).alias("n_reviews"),
+        days.alias("days"),
+    )
+    refetched = F.filter("days", lambda day: day <= F.col("crawl_dt"))
+    return conform(
+        lines.groupBy("file", "modified", "crawl_dt", "appid", "page").agg(
+            F.bool_or("readable").alias("readable"),
+            F.max("cursor").alias("cursor"),
+            F.max("n_reviews").alias("n_reviews"),
+            F.min(F.array_min("days")).alias("first_dt"),
+            F.max(F.array_max("days")).alias("last_dt"),
+            F.max(F.array_max(refetched)).alias("refetched_dt"),
+        ),
+        PAGE_ENTRY,
+    )
+
+
 def valid_pages(
     pages: DataFrame, keys: Sequence[str] = ("appid",), *, block: int = 1024
 ) -> DataFrame:
@@ -91,12 +125,16 @@ def valid_pages(
     return join_same(pages, listing_ends, keys, "left").where(~empty & ~beyond).drop("_end")
 
 
-def flatten_reviews(pages: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def flatten_reviews(
+    pages: DataFrame, carry: Sequence[str] = (), keys: Mapping[str, str] | None = None
+) -> DataFrame:
     """One ODS row per review, plus its day ``dt`` and its place (``page``, ``pos``).
 
     Author fields move up with a prefix, missing fields take their defaults, times get a
-    readable form. Columns in ``carry`` come along from the page.
+    readable form. Columns in ``carry`` come along from the page. ``keys`` names keys of
+    the payload that are not our column names.
     """
+    keys = keys or {}
     items = pages.select(*carry, "appid", "page", F.posexplode("reviews").alias("pos", "item"))
     flat = items.select(
         *carry,
@@ -104,12 +142,12 @@ def flatten_reviews(pages: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         "page",
         "pos",
         *[
-            F.col(f"item.{PAYLOAD_KEYS.get(name, name)}").alias(name)
+            F.col(f"item.{keys.get(name, name)}").alias(name)
             for name in REVIEW.names
             if name != "author"
         ],
         *[
-            F.col(f"item.author.{PAYLOAD_KEYS.get(name, name)}").alias(f"author_{name}")
+            F.col(f"item.author.{keys.get(name, name)}").alias(f"author_{name}")
             for name in AUTHOR.names
         ],
     )
@@ -174,41 +212,38 @@ def newest_games(details: DataFrame) -> DataFrame:
     )
 
 
-def latest_crawl(rows: DataFrame) -> DataFrame:
-    """Of several crawls, the rows of the last one that saw a game on a day.
+def day_owners(seen: DataFrame, refresh_days: int) -> DataFrame:
+    """The crawl that a day of a game belongs to: appid, dt, _owner.
 
-    A later crawl refetches whole days, so its rows replace the earlier ones. The owner of
-    a day is found by a partial aggregate; rows without a day form a day of their own.
+    ``seen`` has a row for each crawl that holds reviews of a game of the days that it
+    refetches, its own and the ``refresh_days`` before it. Of these crawls the last one owns
+    each of these days, with or without reviews.
     """
-    day = F.coalesce("dt", F.lit("0001-01-01").cast("date"))
-    tagged = rows.withColumn("_day", day)
-    owners = tagged.groupBy("appid", "_day").agg(F.max("crawl_dt").alias("_owner"))
+    days = F.explode(F.sequence(F.date_sub("crawl_dt", refresh_days), "crawl_dt")).alias("dt")
     return (
-        join_same(tagged, owners, ["appid", "_day"])
-        .where(F.col("crawl_dt").eqNullSafe(F.col("_owner")))
-        .select(*rows.columns)
+        seen.select("appid", "crawl_dt", days)
+        .groupBy("appid", "dt")
+        .agg(F.max("crawl_dt").alias("_owner"))
     )
 
 
-def settle_crawls(rows: DataFrame, refresh_days: int) -> DataFrame:
+def settle_crawls(
+    rows: DataFrame, refresh_days: int, owners: DataFrame | None = None
+) -> DataFrame:
     """Rows of several crawls as if each had been taken in on its day.
 
-    A crawl refetches its own day and the ``refresh_days`` before it, so of the crawls that saw
-    a game on such days the last one owns each of them. Any other row counts if its review is not there yet: of
-    several crawls the first one's, unless an owner came after it. Owners and repeats are
-    found on narrow rows; the wide ones are only filtered.
+    A day of a game has the rows of the crawl that owns it (``day_owners``). Any other row
+    counts if its review is not there yet: of several crawls the first one's, unless an owner
+    came after it. Owners and repeats are found on narrow rows; the wide ones are only
+    filtered. Where ``rows`` are some of the crawled rows only, ``owners`` come from all.
     """
     own = F.coalesce(
         F.col("dt").between(F.date_sub("crawl_dt", refresh_days), F.col("crawl_dt")), F.lit(False)
     )
     rows = rows.withColumn("_own", own)
-    seen = rows.where("_own").select("appid", "crawl_dt").distinct()
-    days = F.explode(F.sequence(F.date_sub("crawl_dt", refresh_days), "crawl_dt")).alias("dt")
-    owners = (
-        seen.select("appid", "crawl_dt", days)
-        .groupBy("appid", "dt")
-        .agg(F.max("crawl_dt").alias("_owner"))
-    )
+    if owners is None:
+        seen = rows.where("_own").select("appid", "crawl_dt").distinct()
+        owners = day_owners(seen, refresh_days)
     met = join_same(rows, owners, ["appid", "dt"], "left")
     owned = met.where("_own AND crawl_dt = _owner")
     after_owner = F.coalesce(F.col("crawl_dt") > F.col("_owner"), F.col("_owner").isNull())

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfpulse.operators.bloom import MOST_WORDS, bloom_filter, may_hold, words_for
+from shelfpulse.scratch import stage
+
 SECONDS_PER_DAY = 86_400
 
 
@@ -87,6 +90,38 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+def distinct_wide(df: DataFrame, most_words: int = MOST_WORDS) -> DataFrame:
+    """``distinct_rows`` for tables of wide rows with few duplicates.
+
+    A 128-bit digest of each row is counted on narrow rows. The digests that repeat make a
+    Bloom filter of at most ``most_words`` words, which every row is tested against where it
+    is. Rows that it does not know are unique and go straight through; the others are shuffled
+    whole and compared. More repeats than the filter is made for let unique rows be shuffled
+    too, and change nothing else.
+
+    ``df`` is read three times, for the digests and for the rows on either side, so that no
+    wide row is shuffled without need. Maps have no digest; such tables are shuffled whole.
+    """
+    if any(_has_map(field.dataType) for field in df.schema.fields):
+        return distinct_rows(df)
+    columns = [F.col(f"`{name}`") for name in df.columns]
+    hashed = F.xxhash64(*columns)
+    digests = df.select(hashed.alias("h"), F.xxhash64(F.lit(1), *columns).alias("g"))
+    repeated = digests.groupBy("h", "g").agg(F.count("*").alias("copies")).where("copies > 1")
+    repeated = stage(repeated.select("h"), "repeated")
+    words = words_for(repeated.count(), most_words)
+    suspect = may_hold(bloom_filter(repeated, words), hashed, words)
+    return df.where(~suspect).unionByName(distinct_rows(df.where(suspect)))
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_has_map(field.dataType) for field in kind.fields)
+    return isinstance(kind, T.MapType | T.VariantType)
+
+
 def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row per key under a total ``order``.
 

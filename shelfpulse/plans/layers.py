@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,14 +22,16 @@ from shelfpulse.operators.boards import (
 from shelfpulse.operators.cleaning import clean_reviews
 from shelfpulse.operators.joins import join_same
 from shelfpulse.operators.metrics import overview, trend_1d
-from shelfpulse.operators.quality import check
+from shelfpulse.operators.quality import check, check_references
 from shelfpulse.operators.reviews import (
+    day_owners,
     flatten_reviews,
     newest_games,
+    page_entries,
     settle_crawls,
     valid_pages,
 )
-from shelfpulse.operators.rows import dedup_latest, purchased
+from shelfpulse.operators.rows import dedup_latest, distinct_rows, distinct_wide, purchased
 from shelfpulse.schemas import (
     DWD_REVIEW,
     GMV,
@@ -52,27 +54,64 @@ from shelfpulse.sinks.tables import (
     table_days,
 )
 from shelfpulse.sources.landing import intact_pages, read_game_details, unreadable_pages
+from shelfpulse.streaming.manifest import Manifest
 
 CRAWL = ("crawl_dt", "appid")
 
 
-def crawled_rows(
-    pages: DataFrame, settings: Settings, window: DayWindow | None = None
-) -> DataFrame:
+def manifest(settings: Settings) -> Manifest:
+    """What is known of the landing zone."""
+    return Manifest(
+        settings.review_landing,
+        settings.table("manifest"),
+        settings.table_format,
+        settings.payload_keys,
+    )
+
+
+def crawled_rows(pages: DataFrame, settings: Settings) -> DataFrame:
     """All reviews of landed pages as ODS rows, with their crawl and day.
 
-    Pages that cannot be read go to a table of their own, with a count per crawl. With
-    ``window`` only its days are wanted.
+    Pages that cannot be read go to a table of their own, with a count per crawl. Pages that
+    carry their file are recorded in the manifest.
     """
+    # Parsed once: the paging rule, the choice of the crawl and the manifest read it again.
+    pages = stage(pages.withColumn("n_reviews", F.size("reviews")), "pages")
     store_unreadable(pages, settings)
-    # Parsed once: the paging rule and the choice of the crawl read it again.
-    pages = stage(intact_pages(pages).withColumn("n_reviews", F.size("reviews")), "pages")
-    rows = flatten_reviews(valid_pages(pages, CRAWL), carry=["crawl_dt"])
-    if window:
-        rows = rows.where(window.holds("dt"))
+    if "file" in pages.columns:
+        manifest(settings).record(page_entries(pages))
+    return _ods_rows(valid_pages(intact_pages(pages), CRAWL), settings)
+
+
+def _ods_rows(pages: DataFrame, settings: Settings) -> DataFrame:
+    rows = flatten_reviews(pages, carry=["crawl_dt"], keys=settings.payload_keys)
     return rows.select(*ODS_REVIEW.names, "crawl_dt", "dt")
 
 
+def window_again(
+    spark: SparkSession, settings: Settings, window: DayWindow
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of a window as a first load would have them, and its owned (appid, dt).
+
+    Which pages count and which crawl a day belongs to is settled over the manifest of all
+    crawls; opened are the files that hold pages with reviews of the window.
+    """
+    known = manifest(settings)
+    entries = stage(known.pages(spark).where("readable"), "entries")
+    pages = stage(valid_pages(entries, CRAWL), "valid")
+    fresh = F.col("refetched_dt") >= F.date_sub("crawl_dt", settings.refresh_days)
+    seen = pages.where(fresh).select("appid", "crawl_dt").distinct()
+    owners = stage(
+        day_owners(seen, settings.refresh_days).where(window.holds("dt")), "owners"
+    )
+    meets = F.col("last_dt") >= F.lit(window.first)
+    if window.last:
+        meets &= F.col("first_dt") <= F.lit(window.last)
+    rows = _ods_rows(intact_pages(known.open(pages.where(meets))), settings)
+    rows = stage(rows.where(window.holds("dt")), "crawled")
+    return settle_crawls(rows, settings.refresh_days, owners), owners.select("appid", "dt")
+
+
 def store_unreadable(pages: DataFrame, settings: Settings) -> None:
     """Keep the lines that cannot be read, and tell how many there are of each crawl.
 
@@ -147,16 +186,12 @@ def take_crawls(rows: DataFrame, settings: Settings) -> Days:
             if refresh_ods(inside, settings, window):
                 stored = table_days(spark, name) if settings.table_format == "parquet" else []
                 changed |= {day for day in stored if window.includes(day)}
-                changed |= set(_days(window))
+                changed |= set(window.listed())
             loose = own.where(F.coalesce(~window.holds("dt"), F.lit(True)))
         changed |= _add_new(loose, settings)
     return Days(frozenset(changed))
 
 
-def _days(window: DayWindow) -> list[dt.date]:
-    return [window.first + dt.timedelta(n) for n in range((window.last - window.first).days + 1)]
-
-
 def _add_new(rows: DataFrame, settings: Settings) -> set[dt.date]:
     """Add reviews that are not stored; a review keeps its day, so only its days are read."""
     days = {row[0] for row in rows.select("dt").distinct().collect()}
@@ -175,9 +210,18 @@ def _add_new(rows: DataFrame, settings: Settings) -> set[dt.date]:
     return set(dated.days)
 
 
-def refresh_ods(rows: DataFrame, settings: Settings, window: DayWindow) -> bool:
-    """Replace the window of the games that have new rows."""
-    if rows.isEmpty():
+def refresh_ods(
+    rows: DataFrame,
+    settings: Settings,
+    window: DayWindow,
+    keys: Sequence[str] = ("appid",),
+    settled: DataFrame | None = None,
+) -> bool:
+    """Replace the window of the games that have new rows, or of other ``keys``.
+
+    ``settled`` has keys that are replaced whether they have rows or not.
+    """
+    if rows.isEmpty() and (settled is None or settled.isEmpty()):
         return False
     name = settings.table("ods_review")
     ensure_table(
@@ -187,7 +231,7 @@ def refresh_ods(rows: DataFrame, settings: Settings, window: DayWindow) -> bool:
         partition_by="dt",
         fmt=settings.table_format,
     )
-    refresh_window(rows, name, window, keys=["appid"], fmt=settings.table_format)
+    refresh_window(rows, name, window, keys=keys, settled=settled, fmt=settings.table_format)
     return True
 
 
@@ -201,19 +245,35 @@ def build_dwd(spark: SparkSession, settings: Settings, window: DayWindow | Days
         ods = ods.where(window.holds("dt"))
     label = settings.label or partial(label_by_rules, rules=settings.label_rules)
     ods = ods.where(F.col("dt").isNotNull())
-    dwd = clean_reviews(ods.select(*ODS_REVIEW.names), settings.required, label)
+    # A whole history is not shuffled for the few duplicates in it; some days are.
+    distinct = distinct_rows if window else distinct_wide
+    dwd = clean_reviews(ods.select(*ODS_REVIEW.names), settings.required, label, distinct)
     if settings.dedup_keys:
         newest = [F.desc_nulls_last("timestamp_updated"), F.asc("recommendationid")]
         dwd = dedup_latest(dwd, settings.dedup_keys, newest)
     # The day follows from the creation time and is not part of the duplicate test.
     dwd = dwd.select(*DWD_REVIEW.names, created_day("timestamp_created").alias("dt"))
+    if settings.quality_rules or settings.known_games_only:
+        dwd = _checked(stage(dwd, "dwd"), settings, window)
+    _store_days(dwd, settings, "dwd_review", window)
+
+
+def _checked(dwd: DataFrame, settings: Settings, window: DayWindow | Days | None) -> DataFrame:
+    """Rows that break no rule; the others go to quarantine, the counts to the report."""
+    parts = []
     if settings.quality_rules:
         rules = {name: F.expr(sql) for name, sql in settings.quality_rules.items()}
-        checked = check(stage(dwd, "dwd"), rules)
-        _store_days(checked.quarantine, settings, "quarantine", window)
-        replace_table(checked.report, settings.table("quality"), fmt=settings.table_format)
-        dwd = checked.good
-    _store_days(dwd, settings, "dwd_review", window)
+        parts.append(check(dwd, rules))
+        dwd = parts[-1].good
+    if settings.known_games_only:
+        games = dwd.sparkSession.table(settings.table("game"))
+        parts.append(check_references(dwd, games, ["appid"], "known_game"))
+        dwd = parts[-1].good
+    quarantine = reduce(DataFrame.unionByName, [part.quarantine for part in parts])
+    report = reduce(DataFrame.unionByName, [part.report for part in parts])
+    _store_days(quarantine, settings, "quarantine", window)
+    replace_table(report, settings.table("quality"), fmt=settings.table_format)
+    return dwd
 
 
 def build_overview(

@@ -14,7 +14,6 @@ from shelfpulse.queries.registry import query
 from shelfpulse.queries.standins import events, table, texts
 from shelfpulse.scratch import scratch_path
 from shelfpulse.functions.dates import epoch_to_text
-from shelfpulse.schemas import PAYLOAD_KEYS
 from shelfpulse.sources import (
     from_rows,
     intact_pages,
@@ -36,8 +35,8 @@ def document_pages(spark, sf_dir):
         F.col("lang").alias("language"),
         (F.col("quality") == 1).alias("voted_up"),
         F.col("toxic").alias("votes_up"),
-        F.struct(F.col("source").alias(PAYLOAD_KEYS["id"])).alias("author"),
-        F.col("quality").isNotNull().alias(PAYLOAD_KEYS["bought"]),
+        F.struct(F.col("source").alias("id")).alias("author"),
+        F.col("quality").isNotNull().alias("bought"),
     )
     page = (F.floor(F.col("doc_id") / PAGE_SPAN) + 1).cast("int")
     appid = F.substring("source", 4, 10).cast("bigint")

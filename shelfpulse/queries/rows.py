@@ -120,6 +120,41 @@ def distinct_rows(spark, sf_dir):
     return rows.distinct_rows(table(spark, sf_dir, "documents").select("lang", "source", "text"))
 
 
+@query("SELECT DISTINCT lang, text, doc_id % 3 AS part FROM documents")
+def distinct_wide(spark, sf_dir):
+    """Every second document is there three times, the others once."""
+    documents = table(spark, sf_dir, "documents").select(
+        "lang", "text", (F.col("doc_id") % 3).alias("part"), "doc_id"
+    )
+    copies = F.when(F.col("doc_id") % 2 == 0, F.array_repeat(F.lit(0), 3)).otherwise(F.array(F.lit(0)))
+    return rows.distinct_wide(documents.select("lang", "text", "part", F.explode(copies).alias("c")).drop("c"))
+
+
+@query(f"""
+WITH {SALES_SQL}
+SELECT appid, recommendationid, created_date, 'known_game' AS broken
+FROM sales WHERE appid NOT IN (SELECT p_partkey FROM part WHERE p_size < 30)
+""")
+def orphan_reviews(spark, sf_dir):
+    """Reviews of games that the dimension does not have."""
+    known = table(spark, sf_dir, "part").where("p_size < 30").select(F.col("p_partkey").alias("appid"))
+    checked = quality.check_references(sales(spark, sf_dir), known, ["appid"], "known_game")
+    return checked.quarantine.select(
+        "appid", "recommendationid", "created_date", F.array_join("broken_rules", ",").alias("broken")
+    )
+
+
+@query(f"""
+WITH {SALES_SQL}
+SELECT 'known_game' AS rule, count(*) AS checked_rows,
+       count(*) FILTER (WHERE appid NOT IN (SELECT p_partkey FROM part WHERE p_size < 30)) AS failed_rows
+FROM sales
+""")
+def orphan_report(spark, sf_dir):
+    known = table(spark, sf_dir, "part").where("p_size < 30").select(F.col("p_partkey").alias("appid"))
+    return quality.check_references(sales(spark, sf_dir), known, ["appid"], "known_game").report
+
+
 @query("""
 SELECT doc_id, source FROM (
     SELECT doc_id, source, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS n

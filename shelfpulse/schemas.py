@@ -5,6 +5,8 @@ Column names, their order and their types are fixed values.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import types as T
 
 STRING, LONG, INT = T.StringType(), T.LongType(), T.IntegerType()
@@ -16,21 +18,13 @@ def struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-# Keys of the landed payload that are not the names of our columns.
-PAYLOAD_KEYS = {
-    "id": "steamid",
-    "bought": "steam_purchase",
-    "on_handheld": "primarily_steam_deck",
-}
-
-
-def as_landed(schema: T.StructType) -> T.StructType:
-    """The same fields under the keys of the payload."""
+def as_landed(schema: T.StructType, keys: Mapping[str, str]) -> T.StructType:
+    """The same fields under the keys of the payload, where these differ."""
     return T.StructType(
         [
             T.StructField(
-                PAYLOAD_KEYS.get(f.name, f.name),
-                as_landed(f.dataType) if isinstance(f.dataType, T.StructType) else f.dataType,
+                keys.get(f.name, f.name),
+                as_landed(f.dataType, keys) if isinstance(f.dataType, T.StructType) else f.dataType,
             )
             for f in schema.fields
         ]
@@ -79,17 +73,40 @@ QUERY_SUMMARY = struct(
 
 CORRUPT = "_corrupt"
 
-# One landed response. ``crawl_dt``, ``appid`` and ``page`` come from fields of the line
-# or from key=value folders of the landing zone.
-REVIEW_PAGE = struct(
-    crawl_dt=DATE,
+
+def review_page(keys: Mapping[str, str] | None = None) -> T.StructType:
+    """One landed response. ``crawl_dt``, ``appid`` and ``page`` come from fields of the line
+    or from key=value folders of the landing zone.
+
+    ``keys`` names the keys of the payload that are not the names of our columns.
+    """
+    return struct(
+        crawl_dt=DATE,
+        appid=LONG,
+        page=INT,
+        success=INT,
+        cursor=STRING,
+        query_summary=QUERY_SUMMARY,
+        reviews=T.ArrayType(as_landed(REVIEW, keys or {})),
+        **{CORRUPT: STRING},
+    )
+
+
+# What is known of the pages in a landed file without opening it: the cursor that a page
+# gives, its number of reviews, and their first and last day. ``refetched_dt`` is the last
+# day that is not after the crawl.
+PAGE_ENTRY = struct(
+    file=STRING,
+    modified=T.TimestampType(),
     appid=LONG,
     page=INT,
-    success=INT,
+    readable=BOOLEAN,
     cursor=STRING,
-    query_summary=QUERY_SUMMARY,
-    reviews=T.ArrayType(as_landed(REVIEW)),
-    **{CORRUPT: STRING},
+    n_reviews=INT,
+    first_dt=DATE,
+    last_dt=DATE,
+    refetched_dt=DATE,
+    crawl_dt=DATE,
 )
 
 GAME_DATA = struct(

@@ -1,6 +1,6 @@
 """Everything that leaves data behind."""
 
-from shelfpulse.sinks.export import ExportMismatch, export_jdbc, write_csv_backup
+from shelfpulse.sinks.export import ExportMismatch, export_jdbc, merge_jdbc, write_csv_backup
 from shelfpulse.sinks.tables import (
     append_table,
     delete_window,
@@ -19,6 +19,7 @@ __all__ = [
     "delete_window",
     "ensure_table",
     "export_jdbc",
+    "merge_jdbc",
     "overwrite_from_sql",
     "refresh_window",
     "replace_or_backup",

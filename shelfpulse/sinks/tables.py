@@ -183,6 +183,7 @@ def refresh_window(
     window: DayWindow | Days,
     *,
     keys: Sequence[str] | None = None,
+    settled: DataFrame | None = None,
     row_key: Sequence[str] = ("appid", "recommendationid"),
     day: str = "dt",
     keep_undated: bool = True,
@@ -191,7 +192,8 @@ def refresh_window(
     """Replace the window by ``new``; running it twice changes nothing.
 
     With ``keys``, only the rows of keys that ``new`` mentions are replaced, so that a
-    game without new rows keeps its history; without, the whole window is. Rows of ``new``
+    game without new rows keeps its history; without, the whole window is. ``settled`` has
+    more ``keys`` to replace, which may be without new rows. Rows of ``new``
     on a day outside the window belong to another refresh and are not written. Undated
     rows are added unless their ``row_key`` is already stored without a day;
     ``keep_undated=False`` says that there are none.
@@ -203,7 +205,10 @@ def refresh_window(
     inside = new.where(window.holds(day)).select(*stored.columns)
     replacement = inside
     if keys:
-        refreshed = inside.select(*keys).distinct()
+        refreshed = inside.select(*keys)
+        if settled is not None:
+            refreshed = refreshed.unionByName(settled.select(*keys))
+        refreshed = refreshed.distinct()
         kept = join_same(stored.where(window.holds(day)), refreshed, keys, "left_anti")
         replacement = kept.select(*stored.columns).unionByName(inside)
 

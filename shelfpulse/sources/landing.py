@@ -2,36 +2,76 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfpulse.schemas import CORRUPT, GAME_DETAIL, REVIEW_PAGE
+from shelfpulse.schemas import CORRUPT, GAME_DETAIL, review_page
 
 PAGE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
-def read_review_pages(spark: SparkSession, path: str) -> DataFrame:
+def read_review_pages(
+    spark: SparkSession,
+    path: str,
+    keys: Mapping[str, str] | None = None,
+    files: Sequence[str] | None = None,
+) -> DataFrame:
     """One row per landed response, JSON lines, declared schema.
 
     Folders named ``crawl_dt=``, ``appid=`` or ``page=`` fill the columns of that name, and
     a filter on them prunes files. A line that does not match keeps its text in the
-    corrupt column; what could be read of it stays.
+    corrupt column; what could be read of it stays. ``keys`` names keys of the payload that
+    are not our column names. With ``files`` only these files below ``path`` are opened.
+    """
+    reader = spark.read.schema(review_page(keys)).options(**PAGE_OPTIONS)
+    if files is None:
+        return reader.json(path)
+    if not files:
+        return spark.createDataFrame([], review_page(keys))
+    return reader.option("basePath", path).json([_literal(file) for file in files])
+
+
+def _literal(path: str) -> str:
+    """A path in which no character stands for others."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def _file() -> list[Column]:
+    return [
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+    ]
+
+
+def located(pages: DataFrame) -> DataFrame:
+    """Scanned pages with the file that each comes from and its time of change."""
+    return pages.select("*", *_file())
+
+
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """file, modified and path of each landed file; none is opened.
+
+    ``file`` is the name that scanned rows carry, ``path`` the one to open it by.
     """
-    return spark.read.schema(REVIEW_PAGE).options(**PAGE_OPTIONS).json(path)
+    return spark.read.format("binaryFile").load(path).select(*_file(), "path")
 
 
-def _unreadable() -> Column:
-    return F.col(CORRUPT).isNotNull() & F.col("reviews").isNull()
+def readable_page() -> Column:
+    """Whether the review list of a line could be read."""
+    return F.col(CORRUPT).isNull() | F.col("reviews").isNotNull()
 
 
 def intact_pages(pages: DataFrame) -> DataFrame:
     """Pages whose review list could be read; a failed read is not an empty page."""
-    return pages.where(~_unreadable()).drop(CORRUPT)
+    return pages.where(readable_page()).drop(CORRUPT)
 
 
 def unreadable_pages(pages: DataFrame) -> DataFrame:
     """The lines to look at by hand."""
-    return pages.where(_unreadable()).select("crawl_dt", "appid", "page", CORRUPT)
+    return pages.where(~readable_page()).select("crawl_dt", "appid", "page", CORRUPT)
 
 
 def parse_game_details(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -1,5 +1,6 @@
-"""Incremental intake with Structured Streaming."""
+"""Incremental intake."""
 
 from shelfpulse.streaming.ingest import ingest_new, mark_landed
+from shelfpulse.streaming.manifest import Manifest
 
-__all__ = ["ingest_new", "mark_landed"]
+__all__ = ["Manifest", "ingest_new", "mark_landed"]

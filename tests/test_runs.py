@@ -8,14 +8,15 @@ import uuid
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfpulse.__main__ import parser, settings_from
 from shelfpulse.plans import backfill, layers, run_daily, run_full
 from shelfpulse.plans.runs import take_in
-from shelfpulse.scratch import scratch_path
-from shelfpulse.schemas import PAYLOAD_KEYS
+from shelfpulse.scratch import scratch_path, stage
 from shelfpulse.settings import JdbcTarget, Settings
-from shelfpulse.streaming import ingest_new
+from shelfpulse.sinks import append_table
+from shelfpulse.streaming import Manifest, ingest_new
 
 
 def stamp(day, hour=12):
@@ -29,8 +30,8 @@ def review(rid, day, author="u", bought=True, up=True, text="好评 画面"):
         "review": text,
         "timestamp_created": stamp(day) if day else None,
         "voted_up": up,
-        "author": {PAYLOAD_KEYS["id"]: author},
-        PAYLOAD_KEYS["bought"]: bought,
+        "author": {"id": author},
+        "bought": bought,
     }
 
 
@@ -244,7 +245,7 @@ def test_command_line_settings(monkeypatch):
     assert made.export.batch_size == 5000 and made.export.table == "ads_dashboard"
 
 
-def test_failed_batch_runs_again(spark, zone, tmp_path):
+def test_failed_batch_runs_again(spark, zone, tmp_path, database):
     zone.page("2024-01-20", 1, 1, [review("a", "2024-01-20")])
     checkpoint = str(tmp_path / "checkpoint")
     seen = []
@@ -252,10 +253,11 @@ def test_failed_batch_runs_again(spark, zone, tmp_path):
     def fail(pages):
         raise RuntimeError("table is locked")
 
+    known = Manifest(str(zone.reviews), f"{database}.pages")
     with pytest.raises(Exception, match="locked"):
-        ingest_new(spark, str(zone.reviews), checkpoint, fail)
-    ingest_new(spark, str(zone.reviews), checkpoint, lambda pages: seen.append(pages.count()))
-    ingest_new(spark, str(zone.reviews), checkpoint, lambda pages: seen.append(pages.count()))
+        ingest_new(spark, known, checkpoint, fail)
+    ingest_new(spark, known, checkpoint, lambda pages: seen.append(pages.count()))
+    ingest_new(spark, known, checkpoint, lambda pages: seen.append(pages.count()))
     assert seen == [1]
 
 
@@ -380,3 +382,98 @@ def test_failed_game_table_is_an_error(spark, zone, settings, monkeypatch):
     with pytest.raises(RuntimeError, match="backup"):
         layers.load_games(spark, settings)
     assert spark.read.option("header", True).csv(settings.csv_backup).count() == 1
+
+
+def test_backfill_does_not_bring_back_removed_reviews(spark, zone, settings):
+    """A crawl without reviews in the window owns its days all the same."""
+    zone.price(g1=10)
+    zone.page("2024-01-16", 1, 1, [review("r", "2024-01-15"), review("s", "2024-01-16")])
+    zone.page("2024-01-20", 1, 1, [review("t", "2024-01-19")])
+    run_full(spark, settings, "2024-01-20")
+    assert ids(spark, settings, "ods_review") == ["t"]
+    backfill(spark, settings, "2024-01-14", "2024-01-15")
+    assert ids(spark, settings, "ods_review") == ["t"]
+    # What a fault left behind goes: the landing zone tells whose day it is.
+    stale = spark.table(settings.table("ods_review")).select(
+        *[F.lit("r").alias(c) if c == "recommendationid" else F.lit(dt.date(2024, 1, 15)).alias(c) if c == "dt" else c
+          for c in spark.table(settings.table("ods_review")).columns]
+    )
+    append_table(stage(stale, "stale"), settings.table("ods_review"))
+    assert ids(spark, settings, "ods_review") == ["r", "t"]
+    backfill(spark, settings, "2024-01-14", "2024-01-15")
+    assert ids(spark, settings, "ods_review") == ["t"]
+
+
+def test_backfill_keeps_what_the_landing_zone_does_not_tell(spark, zone, settings):
+    zone.price(g1=10)
+    zone.page("2024-01-05", 1, 1, [review("a", "2024-01-05")])
+    zone.page("2024-01-20", 1, 1, [review("b", "2024-01-20")])
+    run_full(spark, settings, "2024-01-20")
+    for file in (zone.reviews / "crawl_dt=2024-01-05").iterdir():
+        file.unlink()
+    backfill(spark, settings, "2024-01-04", "2024-01-20")
+    assert ids(spark, settings, "ods_review") == ["a", "b"]
+
+
+def test_backfill_opens_the_files_of_the_window_only(spark, zone, settings, monkeypatch):
+    opened = []
+    read = Manifest.read
+
+    def spy(self, spark, paths):
+        opened.append(sorted(path.split("crawl_dt=")[1][:10] for path in paths))
+        return read(self, spark, paths)
+
+    monkeypatch.setattr(Manifest, "read", spy)
+    zone.price(g1=10)
+    for month in range(1, 7):
+        zone.page(f"2024-0{month}-20", 1, 1, [review(f"m{month}", f"2024-0{month}-19"), review("old", "2023-11-11")])
+        zone.page(f"2024-0{month}-20", 1, 2, [review(f"n{month}", f"2024-0{month}-18")])
+    run_full(spark, settings, "2024-06-20")
+    assert opened == []
+    backfill(spark, settings, "2024-03-17", "2024-03-18")
+    assert opened == [[*["2024-03-20"] * 2, "2024-04-20", "2024-05-20", "2024-06-20"]]
+    del opened[:]
+    # A file that no run has recorded is read for the manifest, then with the others.
+    zone.page("2024-03-21", 1, 1, [review("new", "2024-03-18")])
+    backfill(spark, settings, "2024-03-17", "2024-03-18")
+    assert opened[0] == ["2024-03-21"] and "2024-03-21" in opened[1]
+    assert "new" in ids(spark, settings, "ods_review")
+    assert "n3" not in ids(spark, settings, "ods_review")
+
+
+def test_daily_intake_opens_touched_crawls_only(spark, zone, settings, monkeypatch):
+    files = []
+    open_ = Manifest.open
+
+    def spy(self, wanted):
+        pages = open_(self, wanted)
+        files.extend(sorted(f.split("crawl_dt=")[1][:12] for f in pages.inputFiles() if "crawl_dt=" in f))
+        return pages
+
+    monkeypatch.setattr(Manifest, "open", spy)
+    zone.price(g1=10, g2=10)
+    for crawl in ("2023-01-10", "2023-06-10", "2024-01-10"):
+        for game in (1, 2):
+            zone.page(crawl, game, 1, [review(f"{crawl}-{game}", crawl)])
+    run_full(spark, settings, "2024-01-10")
+    zone.page("2023-01-10", 1, 2, [review("x", "2023-01-09")])
+    zone.page("2024-01-10", 1, 2, [review("y", "2024-01-09")])
+    run_daily(spark, settings, "2024-01-10")
+    assert files == ["2023-01-10/1", "2023-01-10/1", "2024-01-10/1", "2024-01-10/1"]
+    assert {"x", "y"} <= set(ids(spark, settings, "ods_review"))
+
+
+def test_manifest_tells_pages(spark, zone, settings):
+    zone.page("2024-01-10", 1, 1, [review("a", "2024-01-03"), review("b", None), review("c", "2024-01-12")])
+    zone.page("2024-01-10", 1, 2, [])
+    (zone.reviews / "crawl_dt=2024-01-10" / "cut [1]{x}.json").write_text('{"appid": 2, "reviews": [')
+    known = layers.manifest(settings)
+    rows = {(r.appid, r.page): r for r in known.pages(spark).collect()}
+    first, empty = rows[1, 1], rows[1, 2]
+    day = lambda n: dt.date(2024, 1, n)
+    assert (first.first_dt, first.last_dt, first.refetched_dt, first.n_reviews) == (day(3), day(12), day(3), 3)
+    assert (empty.first_dt, empty.n_reviews, empty.cursor, empty.readable) == (None, 0, "c2", True)
+    cut = next(r for key, r in rows.items() if key[1] is None)
+    assert cut.readable is False and cut.n_reviews is None
+    assert known.pages(spark).count() == 3
+    assert known.open(known.pages(spark).where("NOT readable")).count() == 1

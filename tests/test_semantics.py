@@ -29,12 +29,11 @@ from shelfpulse.operators.cleaning import clean_reviews
 from shelfpulse.operators.reviews import (
     flatten_games,
     flatten_reviews,
-    latest_crawl,
     newest_games,
     query_summary,
     valid_pages,
 )
-from shelfpulse.schemas import GAME, GAME_DATA, ODS_REVIEW, PAYLOAD_KEYS, struct
+from shelfpulse.schemas import GAME, GAME_DATA, ODS_REVIEW, struct
 from shelfpulse.sources import (
     from_rows,
     intact_pages,
@@ -79,8 +78,8 @@ def test_review_fields_absent_null_and_set(spark, tmp_path):
                 "votes_up": 5,
                 "weighted_vote_score": "0.5",
                 "timestamp_created": 1700000000,
-                "author": {PAYLOAD_KEYS["id"]: "s", "num_reviews": 4, "deck_playtime_at_review": 1.5},
-                PAYLOAD_KEYS["bought"]: True,
+                "author": {"id": "s", "num_reviews": 4, "deck_playtime_at_review": 1.5},
+                "bought": True,
                 "developer_response": "thanks",
             },
         ],
@@ -165,24 +164,6 @@ def test_paging_stops(spark, block):
     ]
 
 
-def test_last_crawl_of_a_day_wins(spark):
-    crawled = spark.createDataFrame(
-        [
-            ("2024-01-01", 1, "a", "2024-01-01"),
-            ("2024-01-02", 1, "b", "2024-01-01"),
-            ("2024-01-02", 1, "c", "2024-01-01"),
-            ("2024-01-01", 1, "d", "2023-12-31"),
-            ("2024-01-01", 2, "e", None),
-            ("2024-01-02", 2, None, None),
-            ("2024-01-01", None, "f", "2024-01-01"),
-            ("2024-01-02", None, "g", "2024-01-01"),
-        ],
-        "crawl_dt STRING, appid LONG, id STRING, dt STRING",
-    ).withColumns({"crawl_dt": F.to_date("crawl_dt"), "dt": F.to_date("dt")})
-    kept = latest_crawl(crawled)
-    assert sorted(values(kept, "id"), key=str) == [("b",), ("c",), ("d",), ("g",), (None,)]
-
-
 def test_query_summary_defaults(spark, tmp_path):
     lines = [
         {"appid": 1, "page": 1, "success": 1, "query_summary": {"total_positive": 3}},

@@ -12,12 +12,14 @@ from pyspark.sql.utils import AnalysisException
 
 from shelfpulse.functions.dates import DayWindow
 from shelfpulse.scratch import scratch_path, shared_root, stage, staging
+from shelfpulse.sinks.export import Batch
 from shelfpulse.sinks import (
     ExportMismatch,
     append_table,
     delete_window,
     ensure_table,
     export_jdbc,
+    merge_jdbc,
     overwrite_from_sql,
     refresh_window,
     replace_or_backup,
@@ -265,6 +267,56 @@ def test_export(spark, derby):
     assert back().agg(F.sum("id")).first()[0] == sum(range(20))
 
 
+KINDS = "appid VARCHAR(32), dt VARCHAR(10)"
+
+
+def sold(spark, rows):
+    return spark.createDataFrame(rows, "appid string, dt string, n long")
+
+
+def held(spark, url, name="gmv"):
+    rows = spark.read.format("jdbc").options(url=url, dbtable=name).load().collect()
+    return sorted(tuple(r) for r in rows)
+
+
+def test_merge_replaces_by_any_column(spark, derby):
+    first = sold(spark, [("1", "a", 1), ("2", "a", 1), ("1", "b", 1), ("2", "b", 1), ("3", "c", 1)])
+    assert merge_jdbc(first, derby, "gmv", column_types=KINDS)
+    assert not merge_jdbc(first, derby, "gmv", column_types=KINDS)
+    new = sold(spark, [("2", "b", 2), ("1", "c", 2), ("1", "b", 2)])
+    replaced = {"dt": new.where("dt = 'b'").select("dt"), "appid": new.where("appid = '1'").select("appid")}
+    assert merge_jdbc(new, derby, "gmv", replaced, column_types=KINDS)
+    expected = [("1", "b", 2), ("1", "c", 2), ("2", "a", 1), ("2", "b", 2), ("3", "c", 1)]
+    assert held(spark, derby) == expected
+    # Once more is nothing new; the batch before is, since another came after it.
+    assert not merge_jdbc(new, derby, "gmv", replaced, column_types=KINDS)
+    assert held(spark, derby) == expected
+    assert merge_jdbc(first, derby, "gmv", column_types=KINDS)
+    assert len(held(spark, derby)) == 5
+    # No rows, but days that are empty now.
+    assert merge_jdbc(first.limit(0), derby, "gmv", {"dt": new.select("dt")}, column_types=KINDS)
+    assert held(spark, derby) == [("1", "a", 1), ("2", "a", 1)]
+
+
+@pytest.mark.parametrize("fails", ["INSERT INTO gmv ", "DELETE FROM gmv__applied", "INSERT INTO gmv__applied"])
+def test_merge_breaks_off_and_is_repeated(spark, derby, monkeypatch, fails):
+    merge_jdbc(sold(spark, [("1", "a", 1), ("1", "b", 1)]), derby, "gmv", column_types=KINDS)
+    new = sold(spark, [("1", "b", 2), ("2", "b", 2)])
+    given = (new, derby, "gmv", {"dt": new.select("dt")})
+    run = Batch._run
+
+    def breaks(self, statements):
+        return run(self, [sql if not sql.startswith(fails) else "SELECT no_such FROM nowhere" for sql in statements])
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Batch, "_run", breaks)
+        with pytest.raises(Exception, match="(?i)nowhere"):
+            merge_jdbc(*given, column_types=KINDS)
+    assert held(spark, derby) == [("1", "a", 1), ("1", "b", 1)]
+    assert merge_jdbc(*given, column_types=KINDS)
+    assert held(spark, derby) == [("1", "a", 1), ("1", "b", 2), ("2", "b", 2)]
+
+
 def test_export_notices_other_rows(spark, derby, monkeypatch):
     rows = spark.range(5)
     export_jdbc(rows, derby, "board")
