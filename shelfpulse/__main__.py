@@ -32,6 +32,8 @@ def parser() -> argparse.ArgumentParser:
     common.add_argument(
         "--known-games-only", action="store_true", help="quarantine reviews of unknown games"
     )
+    common.add_argument("--buyer-sketches", action="store_true", help="store daily buyer sketches")
+    common.add_argument("--rank-history", action="store_true", help="store the boards of every day")
     common.add_argument("--label-rules", help="JSON file: label and its words")
     common.add_argument("--payload-keys", help="JSON file: column and its key in landed reviews")
     common.add_argument("--csv-backup", help="folder for the game list if its table fails")
@@ -78,6 +80,8 @@ def settings_from(args: argparse.Namespace) -> Settings:
         required=args.required or REQUIRED_REVIEW_COLUMNS,
         quality_rules=_json(args.rules) or {},
         known_games_only=args.known_games_only,
+        buyer_sketches=args.buyer_sketches,
+        rank_history=args.rank_history,
         label_rules=_json(args.label_rules),
         csv_backup=args.csv_backup,
         export=export,

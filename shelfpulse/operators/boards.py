@@ -7,9 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfpulse.functions.dates import DayWindow
+from shelfpulse.functions.dates import Days, DayWindow
 from shelfpulse.operators.metrics import positive_rate
-from shelfpulse.operators.ranking import rank_all, top_k
+from shelfpulse.operators.ranking import rank_all, rank_within, top_k
+from shelfpulse.scratch import stage
 
 
 def recent_totals(
@@ -24,6 +25,49 @@ def recent_totals(
     )
 
 
+def rank_history(
+    daily: DataFrame, days: int = 7, *, sales: str = "add_review_num", only: Days | None = None
+) -> DataFrame:
+    """The rankings of ``recent_totals`` for every day: dt, appid, sales, gmv and their ranks.
+
+    A figure counts on its own day and the ``days - 1`` after it, so it is dealt to these days
+    and summed: a game is on a day's board as long as it sold within the span, whether it sold
+    that day or not. Boards end with the newest day of ``daily``. ``only`` asks for some days,
+    for which the figures of their spans are read.
+    """
+    dated = daily.withColumn("dt", F.col("dt").cast("date"))
+    last = dated.agg(F.max("dt")).scalar()
+    if only is not None:
+        span = {day - dt.timedelta(n) for day in only.days for n in range(days)}
+        dated = dated.where(Days(frozenset(span)).holds("dt"))
+    spread = F.explode(F.sequence("dt", F.least(F.date_add("dt", days - 1), last)))
+    totals = dated.select("appid", sales, "gmv", spread.alias("dt"))
+    if only is not None:
+        totals = totals.where(only.holds("dt"))
+    totals = stage(
+        totals.groupBy("dt", "appid").agg(F.sum(sales).alias("sales"), F.sum("gmv").alias("gmv")),
+        "history",
+    )
+    ranked = rank_within(totals, "sales", ["dt"], into="sales_rank")
+    return rank_within(ranked, "gmv", ["dt"], into="gmv_rank")
+
+
+def rate_history(trend: DataFrame, min_reviews: int = 1) -> DataFrame:
+    """Positive rate of a game up to each of its days, and its dense rank on that day.
+
+    The running sums of a game go over its days, not its reviews.
+    """
+    upto = Window.partitionBy("appid").orderBy("dt")
+    running = trend.select(
+        "dt",
+        "appid",
+        F.sum("review_count").over(upto).alias("reviews"),
+        F.sum("positive_count").over(upto).alias("positive"),
+    ).where(F.col("reviews") >= min_reviews)
+    rated = running.withColumn("positive_rate", positive_rate("positive", "reviews"))
+    return rank_within(stage(rated, "rates"), "positive_rate", ["dt"], dense=True, into="rate_rank")
+
+
 def sales_rank(totals: DataFrame) -> DataFrame:
     return rank_all(totals.select("appid", "sales"), "sales", into="sales_rank")
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfpulse.operators.bloom import MOST_WORDS, bloom_filter, may_hold, words_for
+from shelfpulse.operators.joins import join_same
 from shelfpulse.scratch import stage
 
 
@@ -22,12 +23,14 @@ class Checked:
     report: DataFrame
 
 
-def rule_report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """Per rule: rows checked and rows failed, in one pass.
+def rule_report(
+    df: DataFrame, rules: Mapping[str, Column], by: Sequence[str] = ()
+) -> DataFrame:
+    """Per rule: rows checked and rows failed, in one pass; for each group of ``by``.
 
     Like a CHECK constraint, a rule that evaluates to null is not broken.
     """
-    counts = df.agg(
+    counts = df.groupBy(*by).agg(
         F.count("*").alias("_rows"),
         *[F.count_if(~passed).alias(name) for name, passed in rules.items()],
     )
@@ -35,6 +38,7 @@ def rule_report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
         counts,
         [
             F.struct(
+                *by,
                 F.lit(name).alias("rule"),
                 F.col("_rows").alias("checked_rows"),
                 F.col(name).alias("failed_rows"),
@@ -55,15 +59,23 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def check(
-    df: DataFrame, rules: Mapping[str, Column], unique: Sequence[str] | None = None
+    df: DataFrame,
+    rules: Mapping[str, Column],
+    unique: Sequence[str] | None = None,
+    by: Sequence[str] = (),
 ) -> Checked:
     """Split rows by the rules; ``unique`` adds a rule that a key occurs once.
 
+    The report has a row for each rule, or for each rule and group of ``by``; uniqueness is a
+    matter of all rows and has no groups.
+
     All copies of a repeated key fail. The copies are counted by a partial aggregate and
     joined back, not gathered in a window; the report needs only the counts.
     """
+    if unique and by:
+        raise ValueError("uniqueness cannot be reported by group")
     rules = dict(rules)
-    reports = [rule_report(df, rules)] if rules else []
+    reports = [rule_report(df, rules, by)] if rules else []
     if unique:
         reports.append(_unique_report(df, unique))
         copies = repeated_keys(df, unique).withColumnRenamed("copies", "_copies")
@@ -96,6 +108,7 @@ def check_references(
     dimension: DataFrame,
     keys: Sequence[str],
     rule: str,
+    by: Sequence[str] = (),
     most_words: int = MOST_WORDS,
 ) -> Checked:
     """Split rows by whether the dimension has their key, like a foreign key constraint.
@@ -115,13 +128,21 @@ def check_references(
     maybe, names = fact.where(suspect), missing.select(*keys)
     orphans = maybe.join(names, keys, "left_semi").select(*fact.columns)
     cleared = maybe.join(names, keys, "left_anti").select(*fact.columns)
-    failed = orphans.agg(F.count("*")).scalar()
+    if by:
+        failed = orphans.groupBy(*by).agg(F.count("*").alias("_failed"))
+        counts = join_same(fact.groupBy(*by).agg(F.count("*").alias("_rows")), failed, by, "left")
+    else:
+        counts = fact.agg(F.count("*").alias("_rows"))
+        counts = counts.withColumn("_failed", orphans.agg(F.count("*")).scalar())
     return Checked(
         good=fact.where(~suspect).unionByName(cleared),
         quarantine=orphans.withColumn("broken_rules", F.array(F.lit(rule))),
-        report=fact.agg(
-            F.lit(rule).alias("rule"), F.count("*").alias("checked_rows")
-        ).withColumn("failed_rows", failed),
+        report=counts.select(
+            *by,
+            F.lit(rule).alias("rule"),
+            F.col("_rows").alias("checked_rows"),
+            F.coalesce("_failed", F.lit(0)).alias("failed_rows"),
+        ),
     )
 
 
@@ -165,5 +186,5 @@ def column_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def _unpivot(one_row: DataFrame, structs: Sequence[Column]) -> DataFrame:
-    return one_row.select(F.inline(F.array(*structs)))
+def _unpivot(rows: DataFrame, structs: Sequence[Column]) -> DataFrame:
+    return rows.select(F.inline(F.array(*structs)))

@@ -258,8 +258,23 @@ def settle_crawls(
     return owned.select(*columns).unionByName(loose.select(*columns))
 
 
-def query_summary(pages: DataFrame) -> DataFrame:
-    """The rating summary on the first page of each game."""
+def newest_summaries(pages: DataFrame) -> DataFrame:
+    """appid, the rating summary of its newest crawl, and that crawl's day."""
+    carried = pages.where(F.col("query_summary").isNotNull())
+    return newest_by_crawl(query_summary(carried, ["crawl_dt"]))
+
+
+def newest_by_crawl(summaries: DataFrame) -> DataFrame:
+    """One row per game; a summary without a crawl day is the oldest."""
+    names = [c for c in summaries.columns if c != "appid"]
+    order = F.struct(F.coalesce("crawl_dt", F.lit("0001-01-01").cast("date")), *names)
+    newest = summaries.groupBy("appid").agg(F.max_by(F.struct(*names), order).alias("s"))
+    return newest.select("appid", *[F.col(f"s.{c}").alias(c) for c in names])
+
+
+def query_summary(pages: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """The rating summary on the first page of each game; ``carry`` comes along."""
     firsts = pages.where((F.col("page") == 1) & (F.col("success") == 1))
-    flat = firsts.select("appid", *[f"query_summary.{name}" for name in SUMMARY_DEFAULTS])
+    summary = [f"query_summary.{name}" for name in SUMMARY_DEFAULTS]
+    flat = firsts.select("appid", *summary, *carry)
     return with_defaults(flat, SUMMARY_DEFAULTS)

@@ -16,17 +16,20 @@ from shelfpulse.operators.boards import (
     gmv_growth,
     gmv_rank,
     positive_rate_rank,
+    rank_history,
     recent_totals,
     sales_rank,
 )
 from shelfpulse.operators.cleaning import clean_reviews
 from shelfpulse.operators.joins import join_same
-from shelfpulse.operators.metrics import overview, trend_1d
+from shelfpulse.operators.metrics import buyer_sketches, overview, trend_1d
 from shelfpulse.operators.quality import check, check_references
 from shelfpulse.operators.reviews import (
     day_owners,
     flatten_reviews,
+    newest_by_crawl,
     newest_games,
+    newest_summaries,
     page_entries,
     settle_crawls,
     valid_pages,
@@ -78,6 +81,7 @@ def crawled_rows(pages: DataFrame, settings: Settings) -> DataFrame:
     # Parsed once: the paging rule, the choice of the crawl and the manifest read it again.
     pages = stage(pages.withColumn("n_reviews", F.size("reviews")), "pages")
     store_unreadable(pages, settings)
+    store_summaries(pages, settings)
     if "file" in pages.columns:
         manifest(settings).record(page_entries(pages))
     return _ods_rows(valid_pages(intact_pages(pages), CRAWL), settings)
@@ -112,6 +116,15 @@ def window_again(
     return settle_crawls(rows, settings.refresh_days, owners), owners.select("appid", "dt")
 
 
+def store_summaries(pages: DataFrame, settings: Settings) -> None:
+    """Keep the newest rating summary of each game."""
+    spark, name = pages.sparkSession, settings.table("summary")
+    found = newest_summaries(intact_pages(pages))
+    if spark.catalog.tableExists(name):
+        found = newest_by_crawl(found.unionByName(spark.table(name)))
+    replace_table(stage(found, "summaries"), name, fmt=settings.table_format)
+
+
 def store_unreadable(pages: DataFrame, settings: Settings) -> None:
     """Keep the lines that cannot be read, and tell how many there are of each crawl.
 
@@ -263,16 +276,18 @@ def _checked(dwd: DataFrame, settings: Settings, window: DayWindow | Days | None
     parts = []
     if settings.quality_rules:
         rules = {name: F.expr(sql) for name, sql in settings.quality_rules.items()}
-        parts.append(check(dwd, rules))
+        parts.append(check(dwd, rules, by=["dt"]))
         dwd = parts[-1].good
     if settings.known_games_only:
         games = dwd.sparkSession.table(settings.table("game"))
-        parts.append(check_references(dwd, games, ["appid"], "known_game"))
+        parts.append(check_references(dwd, games, ["appid"], "known_game", by=["dt"]))
         dwd = parts[-1].good
     quarantine = reduce(DataFrame.unionByName, [part.quarantine for part in parts])
     report = reduce(DataFrame.unionByName, [part.report for part in parts])
     _store_days(quarantine, settings, "quarantine", window)
-    replace_table(report, settings.table("quality"), fmt=settings.table_format)
+    # By day, so that a run replaces the counts of its days only.
+    report = report.select("rule", "checked_rows", "failed_rows", "dt")
+    _store_days(report, settings, "quality", window)
     return dwd
 
 
@@ -314,6 +329,9 @@ def build_trend(spark: SparkSession, settings: Settings, window: DayWindow | Day
     if window:
         reviews = reviews.where(window.holds("dt"))
     _store_days(trend_1d(reviews).select(*TREND.names, "dt"), settings, "trend", window)
+    if settings.buyer_sketches:
+        sketches = buyer_sketches(reviews).select("appid", "buyers", "sketch", "dt")
+        _store_days(sketches, settings, "buyers", window)
 
 
 def build_gmv(spark: SparkSession, settings: Settings) -> None:
@@ -367,6 +385,22 @@ def build_boards(spark: SparkSession, settings: Settings, as_of: dt.date | None)
     together(*[partial(build, role) for role in boards])
 
 
+def build_history(
+    spark: SparkSession, settings: Settings, window: DayWindow | Days | None
+) -> None:
+    """The rankings of every day: of all days, or of those that days of a window count for."""
+    if not settings.rank_history:
+        return
+    gmv = spark.table(settings.table("gmv"))
+    days = None
+    if window is not None:
+        after = range(settings.rank_days)
+        days = Days(frozenset(day + dt.timedelta(n) for day in window.listed() for n in after))
+    history = rank_history(gmv, settings.rank_days, only=days)
+    columns = [c for c in history.columns if c != "dt"]
+    _store_days(history.select(*columns, "dt"), settings, "history", days)
+
+
 def together(*steps: Callable[[], object]) -> None:
     """Run steps that do not depend on each other at the same time; the cluster is shared."""
     with ThreadPoolExecutor(len(steps)) as pool:

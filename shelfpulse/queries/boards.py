@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfpulse.functions.dates import DayWindow
 from shelfpulse.operators import boards, metrics
 from shelfpulse.queries.registry import query
-from shelfpulse.queries.standins import AS_OF, GMV_SQL, games, sales, texts
+from shelfpulse.queries.standins import AS_OF, GMV_SQL, SALES_SQL, games, sales, texts
+from shelfpulse.scratch import stage
 
 RECENT_SQL = f"""
 {GMV_SQL},
@@ -27,6 +29,68 @@ def _recent(spark, sf_dir):
     return boards.recent_totals(_gmv(spark, sf_dir), AS_OF)
 
 
+@query(f"""
+WITH {GMV_SQL}, days AS (
+    SELECT CAST(d AS DATE) AS dt FROM (SELECT unnest(generate_series(
+        (SELECT min(dt) FROM gmv)::TIMESTAMP, (SELECT max(dt) FROM gmv)::TIMESTAMP, INTERVAL 1 DAY)) AS d)
+), dense AS (
+    SELECT days.dt, games.appid, g.gmv, g.add_review_num
+    FROM days CROSS JOIN (SELECT DISTINCT appid FROM gmv) games
+    LEFT JOIN gmv g ON g.dt = days.dt AND g.appid = games.appid
+), spans AS (
+    SELECT dt, appid, sum(add_review_num) OVER span AS sales, sum(gmv) OVER span AS gmv
+    FROM dense WINDOW span AS (
+        PARTITION BY appid ORDER BY dt RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)
+)
+SELECT CAST(dt AS VARCHAR) AS dt, appid, CAST(sales AS BIGINT) AS sales, CAST(gmv AS DOUBLE) AS gmv,
+       rank() OVER (PARTITION BY dt ORDER BY sales DESC) AS sales_rank,
+       rank() OVER (PARTITION BY dt ORDER BY gmv DESC) AS gmv_rank
+FROM spans WHERE sales IS NOT NULL
+""")
+def rank_history(spark, sf_dir):
+    return boards.rank_history(stage(_gmv(spark, sf_dir), "gmv"))
+
+
+@query(f"""
+WITH {SALES_SQL}, daily AS (
+    SELECT appid, dt, count(*) AS n, count(*) FILTER (WHERE voted_up) AS up FROM sales GROUP BY ALL
+), running AS (
+    SELECT dt, appid, CAST(sum(n) OVER upto AS BIGINT) AS reviews, CAST(sum(up) OVER upto AS BIGINT) AS positive
+    FROM daily WINDOW upto AS (PARTITION BY appid ORDER BY dt)
+)
+SELECT CAST(dt AS VARCHAR) AS dt, appid, reviews, positive,
+       round(CAST(positive AS DOUBLE) / reviews, 6) AS positive_rate,
+       dense_rank() OVER (PARTITION BY dt ORDER BY CAST(positive AS DOUBLE) / reviews DESC) AS rate_rank
+FROM running WHERE reviews >= 5
+""")
+def rate_history(spark, sf_dir):
+    trend = metrics.trend_1d(sales(spark, sf_dir))
+    return boards.rate_history(trend, 5).withColumn("positive_rate", F.round("positive_rate", 6))
+
+
+BUYERS_SQL = f"""
+WITH {SALES_SQL}
+SELECT appid, count(DISTINCT author_id) AS buyers FROM sales
+WHERE bought AND dt BETWEEN DATE '2024-01-24' AND DATE '{AS_OF}' GROUP BY appid
+"""
+WEEK = DayWindow.between("2024-01-24", AS_OF)
+
+
+@query(BUYERS_SQL)
+def buyers_7d(spark, sf_dir):
+    return metrics.exact_buyers_over(sales(spark, sf_dir), WEEK)
+
+
+@query(f"SELECT appid, TRUE AS is_near FROM ({BUYERS_SQL}) b")
+def buyers_sketch_7d(spark, sf_dir):
+    """Merged sketches of the days, within 10 % of the exact number."""
+    sketches = stage(metrics.buyer_sketches(sales(spark, sf_dir)), "sketches")
+    about = metrics.buyers_over(sketches, WEEK).withColumnRenamed("buyers", "about")
+    exact = metrics.exact_buyers_over(sales(spark, sf_dir), WEEK)
+    near = F.abs(F.col("about") - F.col("buyers")) <= 0.1 * F.col("buyers")
+    return exact.join(about, "appid").select("appid", near.alias("is_near"))
+
+
 @query(f"WITH {RECENT_SQL} SELECT appid, sales, CAST(gmv AS DOUBLE) AS gmv FROM recent")
 def totals_7d(spark, sf_dir):
     return _recent(spark, sf_dir)

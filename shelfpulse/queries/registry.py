@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfpulse.scratch import kept
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -35,7 +37,7 @@ def query(sql: str) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
         @wraps(run)
         def shown(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return presented(run(spark, sf_dir))
+            return kept(spark, lambda: presented(run(spark, sf_dir)), run.__name__)
 
         QUERIES[run.__name__] = shown
         ORACLES[run.__name__] = sql

@@ -5,8 +5,9 @@ from __future__ import annotations
 import logging
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 _local_roots: dict[str, str] = {}
-_run_folders: list[str] = []
+
+
+@dataclass
+class _Run:
+    """Where a run stages, whether it did, and the databases it made."""
+
+    folder: str
+    used: bool = False
+    databases: list[str] = field(default_factory=list)
+
+
+_runs: list[_Run] = []
 
 log = logging.getLogger(__name__)
 
@@ -39,8 +51,9 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
-    if _run_folders:
-        folder = _run_folders[-1]
+    if _runs:
+        _runs[-1].used = True
+        folder = _runs[-1].folder
     else:
         folder = f"{shared_root(spark)}/{spark.sparkContext.applicationId}"
     return f"{folder}/{label}-{uuid.uuid4().hex[:12]}"
@@ -50,18 +63,36 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def staging(spark: SparkSession) -> Iterator[str]:
     """Gather what a run stages in one folder and delete it when the run is over.
 
-    A process has one run at a time; results that outlive the run are written as tables.
+    So are the scratch databases that it made. A process has one run at a time; results that
+    outlive the run are written as tables or by ``kept``.
     """
-    folder = scratch_path(spark, "run")
-    _run_folders.append(folder)
+    run = _Run(scratch_path(spark, "run"))
+    _runs.append(run)
     try:
-        yield folder
+        yield run.folder
     finally:
-        _run_folders.remove(folder)
-        _delete(spark, folder)
+        _runs.remove(run)
+        for name in run.databases:
+            spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+        if run.used:
+            delete_folder(spark, run.folder)
+
+
+def kept(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What ``make`` gives, without the tables and folders that it made on the way.
+
+    Only rows that depend on such are written; others come as they are.
+    """
+    path = scratch_path(spark, label)
+    with staging(spark):
+        out = make()
+        if not _runs[-1].used:
+            return out
+        out.write.parquet(path)
+    return spark.read.schema(out.schema).parquet(path)
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def delete_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     try:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -86,4 +117,6 @@ def scratch_database(spark: SparkSession, label: str) -> str:
     """A new database whose managed tables live below the shared folder."""
     name = f"{label}_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, label)}'")
+    if _runs:
+        _runs[-1].databases.append(name)
     return name

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager, nullcontext
 
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 
 from shelfpulse.functions.dates import Days, DayWindow
 from shelfpulse.operators.joins import join_same
-from shelfpulse.scratch import stage
+from shelfpulse.scratch import delete_folder, stage
 from shelfpulse.sinks.export import write_csv_backup
 
 log = logging.getLogger(__name__)
@@ -82,9 +83,12 @@ def replace_table(
 ) -> int:
     """Swap the whole table; returns the rows written.
 
-    Old files go only after the new ones are complete, so a failed job leaves the old
-    table, and ``df`` may read the table it replaces. With ``skip_empty``, a result without
-    rows leaves the old table too.
+    A failed job leaves the old table, and ``df`` may read the table it replaces. With
+    ``skip_empty``, a result without rows leaves the old table too. A table without partitions
+    gets its rows in a folder of their own, to which one call to the catalog then points it:
+    it can be read at all times. The folder before stays for those who are reading it, until
+    the next replacement. Other columns than before need a new table: its rows are complete
+    before the old one is dropped.
     """
     spark = df.sparkSession
     if fmt == ICEBERG:
@@ -97,6 +101,10 @@ def replace_table(
         return verify_count(spark, name)
     if partition_by:
         return _replace_days(df, name, partition_by, skip_empty)
+    if spark.catalog.tableExists(name):
+        stored = [(f.name, f.dataType) for f in spark.table(name).schema.fields]
+        if stored == [(f.name, f.dataType) for f in df.schema.fields]:
+            return _replace_files(df, name, fmt, skip_empty)
     incoming = f"{name}__incoming"
     spark.sql(f"DROP TABLE IF EXISTS {incoming}")
     df.write.format(fmt).saveAsTable(incoming)
@@ -109,6 +117,48 @@ def replace_table(
     return rows
 
 
+VERSION = "__v_"
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    return described.first()["data_type"].rstrip("/")
+
+
+def _replace_files(df: DataFrame, name: str, fmt: str, skip_empty: bool) -> int:
+    spark = df.sparkSession
+    current = _location(spark, name)
+    _sweep(spark, name, current)
+    folder, table = current.rsplit("/", 1)[0], name.rsplit(".", 1)[-1]
+    path = f"{folder}/{table}{VERSION}{uuid.uuid4().hex[:12]}"
+    df.write.format(fmt).save(path)
+    rows = spark.read.schema(df.schema).format(fmt).load(path).count()
+    if skip_empty and rows == 0:
+        delete_folder(spark, path)
+        return 0
+    point_to(spark, name, path)
+    return rows
+
+
+def point_to(spark: SparkSession, name: str, path: str) -> None:
+    """Make a complete folder the files of a table, in one call to the catalog."""
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+
+
+def _sweep(spark: SparkSession, name: str, current: str) -> None:
+    """Delete folders of a table that it does not point to: old ones, and those of broken runs."""
+    folder, table = current.rsplit("/", 1)[0], name.rsplit(".", 1)[-1]
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):
+        found = status.getPath().getName()
+        own = found == table or found.startswith(table + VERSION)
+        if own and found != current.rsplit("/", 1)[-1]:
+            files.delete(status.getPath(), True)
+
+
 def _replace_days(df: DataFrame, name: str, day: str, skip_empty: bool) -> int:
     spark = df.sparkSession
     rows = df.select(*[c for c in df.columns if c != day], day)

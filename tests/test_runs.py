@@ -11,6 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfpulse.__main__ import parser, settings_from
+from shelfpulse.functions.dates import DayWindow
+from shelfpulse.operators.metrics import buyers_over
 from shelfpulse.plans import backfill, layers, run_daily, run_full
 from shelfpulse.plans.runs import take_in
 from shelfpulse.scratch import scratch_path, stage
@@ -202,8 +204,78 @@ def test_quality_rules_divert_rows(spark, zone, settings):
     run_full(spark, checked, "2024-01-20")
     assert ids(spark, checked, "dwd_review") == ["a", "c"]
     assert ids(spark, checked, "quarantine") == ["b"]
-    report = {r.rule: (r.checked_rows, r.failed_rows) for r in spark.table(checked.table("quality")).collect()}
-    assert report == {"has_text": (3, 1), "has_author": (3, 0)}
+
+    def report():
+        rows = spark.table(checked.table("quality")).collect()
+        return {(r.rule, str(r.dt)): (r.checked_rows, r.failed_rows) for r in rows}
+
+    first = {("has_text", "2024-01-20"): (2, 1), ("has_author", "2024-01-20"): (2, 0),
+             ("has_text", "2024-01-19"): (1, 0), ("has_author", "2024-01-19"): (1, 0)}
+    assert report() == first
+    # A later run adds its days and leaves the counts of others.
+    zone.page("2024-02-20", 1, 1, [review("d", "2024-02-20", text="!!")])
+    run_daily(spark, checked, "2024-02-20")
+    assert report() == {**first, ("has_text", "2024-02-20"): (1, 1), ("has_author", "2024-02-20"): (1, 0)}
+
+
+def test_reviews_of_unknown_games_are_reported(spark, zone, settings):
+    from dataclasses import replace
+
+    zone.price(g1=10)
+    zone.page("2024-01-20", 1, 1, [review("a", "2024-01-20")])
+    zone.page("2024-01-20", 2, 1, [review("b", "2024-01-20"), review("c", "2024-01-19")])
+    strict = replace(settings, known_games_only=True, quality_rules={"no_c": "recommendationid <> 'c'"})
+    run_full(spark, strict, "2024-01-20")
+    assert ids(spark, strict, "dwd_review") == ["a"]
+    held = spark.table(strict.table("quarantine")).collect()
+    assert sorted((r.recommendationid, *r.broken_rules) for r in held) == [("b", "known_game"), ("c", "no_c")]
+    rows = spark.table(strict.table("quality")).collect()
+    assert {(r.rule, r.dt.day): (r.checked_rows, r.failed_rows) for r in rows} == {
+        ("no_c", 20): (2, 0), ("no_c", 19): (1, 1), ("known_game", 20): (2, 1)
+    }
+
+
+def test_history_and_sketches_follow_the_runs(spark, zone, settings):
+    from dataclasses import replace
+
+    full = replace(settings, rank_history=True, buyer_sketches=True)
+    zone.price(g1=10, g2=1)
+    zone.page("2024-01-20", 1, 1, [review("a", "2024-01-12", "u"), review("b", "2024-01-20", "u")])
+    zone.page("2024-01-20", 2, 1, [review("c", "2024-01-19", "v"), review("d", "2024-01-20", "u")])
+    run_full(spark, full, "2024-01-20")
+
+    def boards():
+        rows = spark.table(full.table("history")).collect()
+        return {(str(r.dt), r.appid): (r.sales, r.sales_rank, r.gmv_rank) for r in rows}
+
+    first = boards()
+    assert first["2024-01-18", "1"] == (1, 1, 1) and ("2024-01-19", "1") not in first
+    assert first["2024-01-20", "1"] == (1, 2, 1) and first["2024-01-20", "2"] == (2, 1, 2)
+    zone.page("2024-01-22", 1, 1, [review("b", "2024-01-20", "u"), review("e", "2024-01-21", "w"), review("f", "2024-01-22", "w")])
+    run_daily(spark, full, "2024-01-22")
+    later = boards()
+    assert later["2024-01-22", "1"] == (3, 1, 1) and later["2024-01-22", "2"] == (2, 2, 2)
+    assert later["2024-01-18", "1"] == (1, 1, 1)
+    sketches = spark.table(full.table("buyers"))
+    about = {r.appid: r.buyers for r in buyers_over(sketches, DayWindow.between("2024-01-19", "2024-01-22")).collect()}
+    assert about == {1: 2, 2: 2}
+
+
+def test_newest_rating_summary_is_kept(spark, zone, settings):
+    def summary(crawl, game, positive):
+        folder = zone.reviews / f"crawl_dt={crawl}"
+        folder.mkdir(exist_ok=True)
+        line = {"appid": game, "page": 1, "success": 1, "query_summary": {"total_positive": positive}, "reviews": [review(f"{crawl}{game}", crawl)]}
+        (folder / f"{game}-summary.json").write_text(json.dumps(line))
+
+    zone.price(g1=10)
+    summary("2024-01-10", 1, 5), summary("2024-01-20", 1, 7), summary("2024-01-10", 2, 3)
+    run_full(spark, settings, "2024-01-20")
+    held = lambda: {r.appid: r.total_positive for r in spark.table(settings.table("summary")).collect()}
+    assert held() == {1: 7, 2: 3}
+    summary("2024-01-21", 2, 4), summary("2024-01-15", 1, 6)
+    run_daily(spark, settings, "2024-01-21")
+    assert held() == {1: 7, 2: 4}
 
 
 def test_nothing_landed_writes_nothing(spark, zone, settings):

@@ -5,13 +5,17 @@ from __future__ import annotations
 import random
 from collections import Counter, defaultdict
 
+import datetime as dt
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfpulse.functions import clean_text, label_by_rules
+from shelfpulse.functions.dates import Days, DayWindow
 from shelfpulse.operators import metrics, quality, rows
+from shelfpulse.operators.bloom import MOST_WORDS, bloom_filter, may_hold, words_for
 from shelfpulse.operators.cleaning import clean_reviews
 from shelfpulse.operators.ranking import rank_all, rank_within
 from shelfpulse.operators.reviews import valid_pages
@@ -199,3 +203,77 @@ def test_dimension_beyond_the_threshold_is_shuffled(spark, sf_dir):
         assert gmv.count() > 0
     finally:
         spark.conf.set(key, before)
+
+
+def test_unique_rows_are_not_shuffled(spark, monkeypatch):
+    wide = spark.range(5000).selectExpr("id", "repeat(cast(id AS string), 40) AS text", "CAST(NULL AS INT) AS n")
+    df = wide.unionByName(wide.where("id % 10 = 0")).unionByName(wide.where("id = 30"))
+    shuffled = []
+    distinct = rows.distinct_rows
+    monkeypatch.setattr(rows, "distinct_rows", lambda df: shuffled.append(df.count()) or distinct(df))
+    out = rows.distinct_wide(df)
+    assert sorted(out.collect()) == sorted(wide.collect())
+    # Of 5,501 rows those that repeat, 1,001, and a few that the filter takes for such.
+    assert 1001 <= shuffled[0] < 1300
+    few = rows.distinct_wide(df, most_words=64)
+    assert shuffled[1] > shuffled[0]
+    assert sorted(few.collect()) == sorted(wide.collect())
+
+
+def test_distinct_of_odd_values(spark):
+    values = [(1.0, "a"), (-0.0, None), (0.0, None), (float("nan"), "a"), (float("nan"), "a"), (None, None), (None, None), (1.0, "b")]
+    df = spark.createDataFrame(values, "x DOUBLE, s STRING").withColumn("l", F.array("x"))
+    assert rows.distinct_wide(df).count() == rows.distinct_rows(df).count() == 5
+    assert rows.distinct_wide(df.limit(0)).count() == 0
+    odd = spark.createDataFrame([(1, 2), (1, 2)], "`a.b` INT, c INT")
+    assert rows.distinct_wide(odd).count() == 1
+
+
+def test_bloom_filter_knows_its_keys(spark):
+    keys = spark.range(3000).select(F.xxhash64("id").alias("h"))
+    words = words_for(3000)
+    assert words == 1024 and words_for(0) == 64 and words_for(10**12) == MOST_WORDS
+    known = bloom_filter(keys, words)
+    asked = spark.range(13_000).withColumn("known", may_hold(known, F.xxhash64("id"), words))
+    got = {r["inside"]: r["share"] for r in asked.groupBy((F.col("id") < 3000).alias("inside")).agg(F.avg(F.col("known").cast("int")).alias("share")).collect()}
+    assert got[True] == 1.0 and got[False] < 0.05
+
+
+def test_references_against_a_join(spark, hot):
+    fact = spark.range(4000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 50 = 0 THEN NULL ELSE id % 900 END AS k", "id")
+    dimension = spark.range(0, 900, 2).selectExpr("id AS k").unionByName(spark.range(7, 8).selectExpr("id AS k"))
+    for words in (MOST_WORDS, 64):
+        checked = quality.check_references(fact, dimension, ["k"], "known", most_words=words)
+        orphans = fact.where("k IS NOT NULL").join(dimension.distinct(), "k", "left_anti")
+        assert sorted(checked.quarantine.drop("broken_rules").collect()) == sorted(orphans.select("k", "id").collect())
+        assert checked.good.count() + orphans.count() == 4000
+        assert checked.good.where("k IS NULL").count() == fact.where("k IS NULL").count() > 0
+        assert checked.report.first() == ("known", 4000, orphans.count())
+    assert "Window" not in plan(checked.good)
+
+
+def test_sketches_merge_over_days(spark):
+    days = "CAST(date_add(DATE'2024-01-01', CAST(id % 9 AS INT)) AS DATE) AS dt"
+    bought = spark.range(60_000).selectExpr("id % 2 AS appid", days, "CAST(id % 7919 AS STRING) AS author_id", "id % 5 > 0 AS bought")
+    sketches = metrics.buyer_sketches(bought)
+    for window in (DayWindow.between("2024-01-02", "2024-01-05"), DayWindow.between("2024-01-01", "2024-01-09")):
+        exact = {r.appid: r.buyers for r in metrics.exact_buyers_over(bought, window).collect()}
+        for r in metrics.buyers_over(sketches, window).collect():
+            assert abs(r.buyers - exact[r.appid]) < 0.06 * exact[r.appid]
+    one = sketches.where("appid = 0 AND dt = DATE'2024-01-03'").first().buyers
+    assert one == bought.where("appid = 0 AND dt = DATE'2024-01-03' AND bought").select("author_id").distinct().count()
+
+
+def test_some_days_of_the_history(spark):
+    from shelfpulse.operators import boards
+
+    daily = spark.createDataFrame(
+        [(1, "2024-01-01", 1.0, 5), (2, "2024-01-03", 9.0, 1), (1, "2024-01-09", 2.0, 1)],
+        "appid LONG, dt STRING, gmv DOUBLE, add_review_num LONG",
+    )
+    whole = boards.rank_history(daily)
+    only = Days(frozenset({dt.date(2024, 1, 7), dt.date(2024, 1, 8), dt.date(2024, 1, 12)}))
+    some = boards.rank_history(daily, only=only)
+    wanted = sorted(tuple(r) for r in whole.select(*some.columns).where(only.holds("dt")).collect())
+    assert sorted(tuple(r) for r in some.collect()) == wanted and len(wanted) == 3
+    assert whole.agg(F.max("dt")).first()[0] == dt.date(2024, 1, 9)

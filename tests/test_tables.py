@@ -12,6 +12,7 @@ from pyspark.sql.utils import AnalysisException
 
 from shelfpulse.functions.dates import DayWindow
 from shelfpulse.scratch import scratch_path, shared_root, stage, staging
+from shelfpulse.sinks import tables
 from shelfpulse.sinks.export import Batch
 from shelfpulse.sinks import (
     ExportMismatch,
@@ -350,3 +351,51 @@ def test_staging_folder_goes_with_the_run(spark):
 def test_missing_table(spark, database):
     with pytest.raises(AnalysisException):
         read_table(spark, f"{database}.absent").collect()
+
+
+def folders(spark, name):
+    return sorted(p.name for p in Path(tables._location(spark, name).removeprefix("file:")).parent.iterdir())
+
+
+def test_replacement_leaves_no_gap(spark, database, monkeypatch):
+    name = f"{database}.board"
+    values = lambda: sorted(r[0] for r in spark.table(name).collect())
+    assert replace_table(spark.range(3), name) == 3
+    reader = spark.table(name)
+    assert replace_table(spark.range(5), name) == 5
+    # Who is still reading the table as it was can finish.
+    assert reader.count() in (3, 5) and values() == [0, 1, 2, 3, 4]
+    for step in ("point_to", "delete_folder"):
+        with monkeypatch.context() as patch:
+            patch.setattr(tables, step, lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+            with pytest.raises(RuntimeError, match="killed"):
+                replace_table(spark.range(9 if step == "point_to" else 0), name, skip_empty=True)
+        assert values() == [0, 1, 2, 3, 4]
+    assert replace_table(spark.table(name).where("id > 1"), name) == 3
+    assert values() == [2, 3, 4]
+    # The files in use, and those before them; what broken runs left is gone.
+    assert len([f for f in folders(spark, name) if f.startswith("board")]) == 2
+    assert replace_table(spark.range(0), name, skip_empty=True) == 0 and values() == [2, 3, 4]
+    assert replace_table(spark.range(2).withColumn("more", F.lit(1)), name) == 2
+    assert spark.table(name).columns == ["id", "more"]
+    assert replace_table(spark.range(1).withColumn("more", F.lit(1)), name) == 1
+    spark.sql(f"DROP TABLE {name}")
+    assert not spark.catalog.tableExists(name)
+
+
+def test_queries_leave_nothing_but_their_rows(spark, sf_dir):
+    from shelfpulse.queries import QUERIES
+
+    root = Path(shared_root(spark)) / spark.sparkContext.applicationId
+
+    def state():
+        held = {p.name.rsplit("-", 1)[0] for p in root.iterdir()} if root.exists() else set()
+        return held, {r[0] for r in spark.sql("SHOW DATABASES").collect()}
+
+    _, databases = state()
+    counts = {name: QUERIES[name](spark, sf_dir).count() for name in ("table_append", "trend_1d", "daily_gmv")}
+    assert all(counts.values())
+    held, after = state()
+    assert after == databases
+    assert "daily_gmv" not in held and not any(p.startswith("run") for p in held)
+    assert {"table_append", "trend_1d"} <= held
