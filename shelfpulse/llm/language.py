@@ -23,8 +23,11 @@ from shelfpulse.llm.common import ship
 #: Units of each direction; bytes of a window, which both directions enter with state zero.
 UNITS, WINDOW = 8, 64
 #: The bound of the training sample: documents of each language, characters of each.
-DOCS_PER_LANGUAGE, SAMPLE_CHARS, MOST_LANGUAGES = 400, 512, 64
-STEPS, LANES, RATE, SEED = 300, 256, 0.02, 1
+DOCS_PER_LANGUAGE, SAMPLE_CHARS = 400, 512
+#: Characters that the driver takes in all; more languages than that allows are an error.
+DRIVER_CHARS = 1 << 28
+#: Training steps for up to so many languages; as many again for each as many more.
+STEPS, STEP_LANGUAGES, LANES, RATE, SEED = 300, 32, 256, 0.02, 1
 UNKNOWN = "und"
 
 
@@ -130,7 +133,8 @@ class Network:
         first = {name: np.zeros_like(x) for name, x in self.p.items()}
         second = {name: np.zeros_like(x) for name, x in self.p.items()}
         recent: list[float] = []
-        for step in range(1, STEPS + 1):
+        steps = STEPS * -(-len(self.languages) // STEP_LANGUAGES)
+        for step in range(1, steps + 1):
             label = rng.integers(0, len(self.languages), LANES)
             chosen = [by_label[n][rng.integers(0, len(by_label[n]))] for n in label]
             data = np.zeros((WINDOW, LANES), np.uint8)
@@ -143,7 +147,7 @@ class Network:
             loss, grads = self.gradients(data, used, label)
             recent = [*recent[-19:], float(loss)]
             norm = sum(float((g**2).sum()) for g in grads.values()) ** 0.5
-            rate = RATE * min(1.0, 4 * (1 - step / (STEPS + 1))) / max(1.0, norm)
+            rate = RATE * min(1.0, 4 * (1 - step / (steps + 1))) / max(1.0, norm)
             for name, g in grads.items():
                 first[name] = 0.9 * first[name] + 0.1 * g
                 second[name] = 0.99 * second[name] + 0.01 * g * g
@@ -217,8 +221,9 @@ def held_out(id_col: str = "doc_id"):
 def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Network | None:
     """A network from labelled documents that are not held out, or none if there are none.
 
-    Of each of the most frequent languages the documents with the smallest hashes are taken,
-    and of each of them a part at a place that the hash decides.
+    Of each language the documents with the smallest hashes are taken, and of each of them a
+    part at a place that the hash decides. Every labelled language is learned; more of them
+    than the driver has room for are refused, not dropped.
     """
     text = F.col(text_col)
     labelled = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & text.rlike(r"\p{L}"))
@@ -228,10 +233,13 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Network
         text.alias("t"),
         F.xxhash64(text, F.col(id_col)).alias("h"),
     )
+    most = DRIVER_CHARS // (DOCS_PER_LANGUAGE * SAMPLE_CHARS)
     counts = labelled.groupBy(F.col(lang_col).cast("string").alias("lang")).count()
-    common = counts.orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    common = counts.limit(most + 1).collect()
     if not common:
         return None
+    if len(common) > most:
+        raise ValueError(f"more than {most} languages are labelled; raise DRIVER_CHARS")
     # A few times the wanted number passes by its hash, so that however many documents a
     # language has, the ranking sees a bounded number of them.
     share = F.create_map(
@@ -266,8 +274,9 @@ def with_language(
     lang_pred is the language with the largest mean probability over all bytes of the text
     (of equal ones the first by code point), score that probability. Texts that are null or
     without a letter are ``und`` with score 0, and so is every text if no document is
-    labelled. The sample is bounded by ``DOCS_PER_LANGUAGE``, ``SAMPLE_CHARS`` and
-    ``MOST_LANGUAGES``. Only texts are read for predictions. Repeated rows get equal
+    labelled. Every labelled language is learned, from a sample bounded by
+    ``DOCS_PER_LANGUAGE`` and ``SAMPLE_CHARS``; more languages than ``DRIVER_CHARS`` has room
+    for raise an error. Only texts are read for predictions. Repeated rows get equal
     answers; an empty table gives no row.
     """
     ship(docs.sparkSession)
@@ -292,17 +301,16 @@ def with_language(
 
     text = F.col(text_col)
     lettered = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
-    out = docs.withColumn("held_out", held_out(id_col))
     if network is None:
-        return out.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("score", F.lit(0.0))
-    # An unlettered text goes in as null and comes back unknown.
-    said = predicted(F.when(lettered, text))
-    out = out.withColumn("said__", said)
-    return (
-        out.withColumn("lang_pred", F.col("said__.lang_pred"))
-        .withColumn("score", F.col("said__.score"))
-        .drop("said__")
-    )
+        said = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    else:
+        # An unlettered text goes in as null and comes back unknown.
+        said = predicted(F.when(lettered, text))
+    added = ["held_out", "lang_pred", "score"]
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    told = docs.select(own.alias("own"), held_out(id_col).alias("held_out"), said.alias("said"))
+    kept = [F.col(f"own.`{c}`").alias(c) for c in docs.columns if c not in added]
+    return told.select(*kept, "held_out", "said.lang_pred", "said.score")
 
 
 #: A text whose best language has a smaller mean probability is in none that was learned.

@@ -78,6 +78,7 @@ def test_held_out_accuracy(spark, sf_dir):
 
 
 def test_odd_rows(odd_docs, no_docs):
+    odd_docs = odd_docs.withColumns({"said__": odd_docs["size"], "own": odd_docs["size"], "said": odd_docs["size"]})
     out = with_language(odd_docs)
     assert set(out.columns) == {*odd_docs.columns, "held_out", "lang_pred"}
     rows = out.collect()
@@ -99,3 +100,25 @@ def test_nothing_to_learn_from(odd_docs):
 
     unlabelled = with_language(odd_docs.withColumn("lang", F.lit(None).cast("string")))
     assert {r["lang_pred"] for r in unlabelled.collect()} == {"und"}
+
+
+def test_more_languages_than_a_few_dozen(spark, monkeypatch):
+    monkeypatch.setattr(language, "STEP_LANGUAGES", 70)
+    rows = [
+        (1000 * n + i, chr(0x4E00 + 40 * n) * 3 + f" {chr(0x4E00 + 40 * n + i % 3)} " * 5, f"l{n:02d}")
+        for n in range(70)
+        for i in range(6)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = language.learn(docs, "doc_id", "text", "lang")
+    assert network.languages == sorted({r[2] for r in rows})
+    told = with_language(docs).collect()
+    assert {r["lang_pred"] for r in told} <= set(network.languages)
+    assert np.mean([r["lang"] == r["lang_pred"] for r in told]) > 0.5
+    # The last one by number of documents and by name is known as well.
+    assert any(r["lang_pred"] == "l69" for r in told)
+    monkeypatch.setattr(language, "DRIVER_CHARS", 60 * 400 * 512)
+    import pytest
+
+    with pytest.raises(ValueError, match="60 languages"):
+        language.learn(docs, "doc_id", "text", "lang")
