@@ -144,7 +144,8 @@ def near_duplicates(
         "set_id", "first_id", F.coalesce("root", "set_id").alias("root")
     )
     labels = stage(labels, "minhash-labels")
-    named = labels.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # From files, so that the join may deal the labels of a very large component anew.
+    named = stage(labels.groupBy("root").agg(F.min("first_id").alias("component_id")), "minhash-least")
     named = stage(labels.join(named, "root").select("set_id", "component_id"), "minhash-named")
     out = rows.select("doc_id", "n_shingles", "set_id", "text_hash").join(named, "set_id", "left")
     component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
@@ -167,21 +168,25 @@ def without_near_duplicates(
     """One row of each component of ``near_duplicates``, with all columns of ``docs``.
 
     It is the row whose id names the component. Texts without words are linked with nothing
-    and all stay; rows that repeat id and text give one row. Of a component whose rows all
-    lack an id, the rows of each different text give one.
+    and all stay; rows that repeat id and text give one row, that with the smallest hash of all
+    its columns, so reruns agree. Of a component whose rows all lack an id, the rows of each
+    different text give one. Columns may have any names.
     """
     found = near_duplicates(docs, width, least, BANDS, id_col, text_col)
     kept = found.where("kept").select(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"))
-    kept = kept.distinct()
-    number, digest = F.col(id_col).cast("long"), F.xxhash64(F.col(text_col))
-    of_row = Window.partitionBy("id__", "hash__").orderBy("id__")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(
+        F.struct(*columns).alias("own"),
+        F.col(id_col).cast("long").alias("id"),
+        F.xxhash64(F.col(text_col)).alias("hash"),
+        F.xxhash64(*columns).alias("whole"),
+    )
+    first = Window.partitionBy("id", "hash").orderBy("whole")
     return (
-        docs.withColumn("id__", number)
-        .withColumn("hash__", digest)
-        .join(kept, F.col("id__").eqNullSafe(F.col("k_id")) & (F.col("hash__") == F.col("k_hash")))
-        .withColumn("copy__", F.row_number().over(of_row))
-        .where("copy__ = 1")
-        .select(*docs.columns)
+        keyed.join(kept.distinct(), F.col("id").eqNullSafe(F.col("k_id")) & (F.col("hash") == F.col("k_hash")))
+        .withColumn("copy", F.row_number().over(first))
+        .where("copy = 1")
+        .select(*[F.col(f"own.`{c}`").alias(c) for c in docs.columns])
     )
 
 

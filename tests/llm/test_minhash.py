@@ -130,3 +130,13 @@ def test_components_of_chains_stars_and_loops(spark):
         203: 203, 204: 203, 205: 203
     }
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_any_column_names_and_reruns(odd_docs):
+    clash = "k_id k_hash own id hash whole copy id__ hash__ copy__ root set_id".split()
+    docs = odd_docs.withColumns({c: odd_docs["size"] for c in clash})
+    docs = docs.unionByName(docs.where("doc_id = 1").selectExpr(*[c if c != "lang" else "'zz' AS lang" for c in docs.columns]))
+    key = lambda df: sorted(map(str, df.collect()))
+    out = without_near_duplicates(docs)
+    assert out.columns == docs.columns
+    assert key(out) == key(without_near_duplicates(docs.repartition(5)))
