@@ -200,7 +200,8 @@ def near_vectors(
         ),
         "caps-labels",
     )
-    named = labels.groupBy("root").agg(F.min("first_id").alias("least_id"))
+    # From files, so that the join may deal the labels of a very large component anew.
+    named = stage(labels.groupBy("root").agg(F.min("first_id").alias("least_id")), "caps-least")
     named = stage(labels.join(named, "root").select("key", "n_links", "least_id"), "caps-named")
     component = F.when(F.col("key").isNull(), F.col("vec_id")).otherwise(F.col("least_id"))
     return ids.join(named, "key", "left").select(
