@@ -194,9 +194,10 @@ def without_contaminated(
 
 def _judge(given, rate: float, least_chars: int):
     @F.pandas_udf("boolean")
-    def leaks(texts: pd.Series) -> pd.Series:
+    def leaks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         matcher = Matcher(given.value, rate, least_chars)
-        return pd.Series([bool(x) and bool(matcher.find(x)) for x in texts], dtype=bool)
+        for texts in batches:
+            yield pd.Series([bool(x) and bool(matcher.find(x)) for x in texts], dtype=bool)
 
     return leaks
 
