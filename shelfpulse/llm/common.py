@@ -58,3 +58,32 @@ def spread(rows: int, per_part: int, most: int) -> int:
     while parts < most and rows > parts * per_part:
         parts *= 2
     return parts
+
+
+#: Copies that one row becomes within a task, and copies of a task.
+PIECE, TASK_COPIES = 4096, 1 << 18
+
+
+def numbered(rows: DataFrame, count: str, first: Column, name: str) -> DataFrame:
+    """Each row as often as its ``count`` says, with a running number from ``first`` on.
+
+    A row with many copies becomes pieces that are dealt to tasks before they are drawn out, so
+    that no number of equal rows meets in one array or one task. ``rows`` are looked at for
+    such rows first; pass a staged table or what follows from one without a shuffle.
+    """
+    many = F.col(count) > PIECE
+    hot = rows.where(many).agg(F.sum(count)).first()[0]
+
+    def drawn(part: DataFrame, begin: Column, size: Column) -> DataFrame:
+        return part.withColumn(name, F.explode(F.sequence(begin, begin + size - 1)))
+
+    if not hot:
+        return drawn(rows, first, F.col(count))
+    pieces = rows.where(many).withColumn(
+        "piece__", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / PIECE)))
+    )
+    pieces = pieces.repartition(min(4096, -(-hot // TASK_COPIES)), "piece__")
+    done = F.col("piece__") * PIECE
+    rest = F.least(F.col(count) - done, F.lit(PIECE).cast("long"))
+    few = drawn(rows.where(~many), first, F.col(count))
+    return few.unionByName(drawn(pieces, first + done, rest).drop("piece__"))

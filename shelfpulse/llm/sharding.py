@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfpulse.llm.common import spread, utf8_bytes
+from shelfpulse.llm.common import numbered, spread, utf8_bytes
 from shelfpulse.scratch import stage
 
 #: Capacities tried in one round of the search.
@@ -65,18 +65,14 @@ def shard(
     slots = placed.withColumn("before", F.sum("copies").over(within) - F.col("copies")).join(
         starts, ["shard", "slice"]
     )
+    slots = numbered(slots, "copies", F.col("start") + F.col("before"), "slot")
     return slots.select(
         "doc_id",
         "size",
         "text_crc32",
         F.lit("bytes").alias("law"),
         "shard",
-        F.explode(
-            F.sequence(
-                F.col("start") + F.col("before"),
-                F.col("start") + F.col("before") + F.col("copies") - 1,
-            )
-        ).alias("slot"),
+        "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

@@ -1,6 +1,11 @@
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
+from shelfpulse.llm import common
+from shelfpulse.llm.common import numbered
 from shelfpulse.llm.mixing import mix, mixed
+from shelfpulse.scratch import stage
 
 
 def test_taken_words_meet_targets(spark, sf_dir):
@@ -45,3 +50,46 @@ def test_rows_repeat_as_planned(odd_docs):
     out = mixed(odd_docs)
     assert out.columns == odd_docs.columns
     assert out.count() == planned
+
+
+def test_larger_documents_have_larger_odds(spark):
+    """Of a source that gives some of its words, large documents are sampled more often."""
+    rows = [(i, "w " * (4 if i % 2 else 64), "b" if i < 2000 else "a") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = [r for r in mix(docs, weights=(1, 3)).collect() if r["source"] == "a"]
+    assert 0 < sum(r["taken"] for r in taken) < 0.6 * sum(r["size"] for r in taken)
+    rate = {n: sum(r["copies"] for r in taken if r["size"] == n) / 1000 for n in (4, 64)}
+    # A half of the words is open; roots of 4 and 64 over the mean of 34 are 0.34 and 1.37.
+    assert 0.1 < rate[4] < 0.45 and 0.45 < rate[64] < 0.7
+
+
+def test_any_column_names_and_reruns(spark, odd_docs):
+    clash = "copies m_id m_repeat repeat digest own doc_ids p_rows copy piece__ rows t_source u".split()
+    docs = odd_docs.withColumns({c: odd_docs["size"] for c in clash})
+    key = lambda df: sorted(map(str, df.collect()))
+    assert mixed(docs).columns == docs.columns
+    assert key(mixed(docs)) == key(mixed(docs.repartition(7)))
+    assert mix(docs).count() == docs.count()
+
+
+def test_a_third_of_rows_without_id_is_no_single_task(spark):
+    """Equal rows are drawn in pieces, others are told apart by what they hold."""
+    n = 60_000
+    hot = spark.range(n).selectExpr("CAST(NULL AS LONG) AS doc_id", "'one two' AS text", "'a' AS source")
+    rest = spark.range(2 * n).selectExpr("id AS doc_id", "'three four five' AS text", "concat('s', id % 3) AS source")
+    docs = hot.unionByName(rest)
+    out = mix(docs)
+    assert out.count() == 3 * n
+    sizes = numbered(stage(hot.groupBy("source").count(), "hot"), "count", F.lit(1).cast("long"), "nr")
+    assert sizes.agg(F.count("*"), F.countDistinct("nr"), F.max("nr")).first() == (n, n, n)
+    planned = out.agg(F.sum("copies")).first()[0]
+    assert mixed(docs).count() == planned
+
+
+def test_pieces_are_dealt_to_tasks(spark, monkeypatch):
+    monkeypatch.setattr(common, "TASK_COPIES", 20_000)
+    rows = stage(spark.createDataFrame([("x", 200_000), ("y", 1), ("z", 4096)], "k string, n long"), "hot")
+    out = numbered(rows, "n", F.lit(5).cast("long"), "nr")
+    per_task = out.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count("*")).first()
+    assert per_task[0] < 80_000 and per_task[1] > 4
+    assert out.where("k = 'x'").agg(F.min("nr"), F.max("nr"), F.countDistinct("nr")).first() == (5, 200_004, 200_000)
