@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,12 +22,19 @@ from shelfpulse.llm import (
     queries_tokens,
     queries_warc,
 )
+from shelfpulse.scratch import kept
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 LLM_QUERIES: dict[str, Query] = {}
 LLM_ORACLES: dict[str, str] = {}
 
+
+def _kept(name: str, query: Query, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The query's rows; what it staged on the way goes."""
+    return kept(spark, lambda: query(spark, sf_dir), name)
+
+
 for module in (
     queries_language,
     queries_tokens,
@@ -42,5 +50,6 @@ for module in (
     queries_infill,
     queries_search,
 ):
-    LLM_QUERIES.update(module.QUERIES)
+    for name, query in module.QUERIES.items():
+        LLM_QUERIES[name] = partial(_kept, name, query)
     LLM_ORACLES.update(module.ORACLES)
