@@ -14,7 +14,7 @@ from shelfpulse.llm.language import in_known_language
 from shelfpulse.llm.minhash import without_near_duplicates
 from shelfpulse.llm.mixing import mixed
 from shelfpulse.llm.sharding import shard
-from shelfpulse.scratch import stage
+from shelfpulse.scratch import kept, stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SHARDS = 8
@@ -60,8 +60,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over ``documents``; what they staged goes when the last one is written."""
+
+    def staged() -> DataFrame:
+        docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        for name, step in STAGES[:-1]:
+            docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        return STAGES[-1][1](spark, docs, sf_dir)
+
+    return kept(spark, staged, "pipeline")
