@@ -91,23 +91,24 @@ def _hash_slice(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def word_hashes(
-    texts: Sequence[bytes],
+    texts: Sequence[bytes], limit: int | None = None
 ) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
     """Groups of texts: their positions, all their word hashes, offsets into these, and the
-    last two bytes of each word as a number."""
+    last two bytes of each word as a number. ``limit`` bytes are hashed together."""
+    limit = limit or SLICE
     held: list[int] = []
     size = 0
     for i, text in enumerate(texts):
-        if len(text) > SLICE:
+        if len(text) > limit:
             if held:
                 yield _together(texts, held)
                 held, size = [], 0
-            hashes, suffixes = _long(text)
+            hashes, suffixes = _long(text, limit)
             yield [i], hashes, np.array([0, len(hashes)]), suffixes
             continue
         held.append(i)
         size += len(text) + 1
-        if size >= SLICE:
+        if size >= limit:
             yield _together(texts, held)
             held, size = [], 0
     if held:
@@ -121,12 +122,12 @@ def _together(texts: Sequence[bytes], held: list[int]):
     return held, hashes, np.searchsorted(begin, heads), suffixes
 
 
-def _long(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _long(text: bytes, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of one long text, slice by slice; a word on an edge goes to the next slice."""
     out, at = [], 0
     data = np.frombuffer(text, np.uint8)
     while at < len(data):
-        end = min(len(data), at + SLICE)
+        end = min(len(data), at + limit)
         if end < len(data):
             last = np.flatnonzero(~_is_word()[data[at:end]])
             if len(last):
