@@ -7,6 +7,8 @@ import os
 import subprocess
 import sys
 
+from shelfpulse.session import PARTITIONS, size_shuffles
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 ASK = """
@@ -47,3 +49,24 @@ def test_submitted_settings_win():
         keys[3]: "UTC",
         keys[4]: "4m",
     }
+
+
+def test_shuffles_follow_the_input(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_bytes(b"x" * 3_000_000)
+    folder = str(tmp_path / "in")
+    assert size_shuffles(spark, folder) is None
+    held = {key: spark.conf.get(key) for key in (PARTITIONS, ADVISORY)}
+    try:
+        spark.conf.set("spark.shelfpulse.sizeShuffles", "true")
+        assert size_shuffles(spark, folder) == 200
+        spark.conf.set(ADVISORY, "10k")
+        assert size_shuffles(spark, folder) == -(-9_000_000 // 10_240)
+        assert spark.conf.get(PARTITIONS) == str(-(-9_000_000 // 10_240))
+    finally:
+        spark.conf.set("spark.shelfpulse.sizeShuffles", "false")
+        for key, value in held.items():
+            spark.conf.set(key, value)
+
+
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
