@@ -54,12 +54,15 @@ from shelfpulse.sinks.tables import (
     refresh_window,
     replace_or_backup,
     replace_table,
+    table_bytes,
     table_days,
 )
 from shelfpulse.sources.landing import intact_pages, read_game_details, unreadable_pages
 from shelfpulse.streaming.manifest import Manifest
 
 CRAWL = ("crawl_dt", "appid")
+#: Bytes of reviews from which reading them three times is cheaper than shuffling them once.
+LARGE_HISTORY = 1 << 30
 
 
 def manifest(settings: Settings) -> Manifest:
@@ -258,8 +261,10 @@ def build_dwd(spark: SparkSession, settings: Settings, window: DayWindow | Days
         ods = ods.where(window.holds("dt"))
     label = settings.label or partial(label_by_rules, rules=settings.label_rules)
     ods = ods.where(F.col("dt").isNotNull())
-    # A whole history is not shuffled for the few duplicates in it; some days are.
-    distinct = distinct_rows if window else distinct_wide
+    # A large history is not shuffled for the few duplicates in it; some days are. Both ways
+    # give the same rows.
+    large = not window and table_bytes(spark, settings.table("ods_review")) > LARGE_HISTORY
+    distinct = distinct_wide if large else distinct_rows
     dwd = clean_reviews(ods.select(*ODS_REVIEW.names), settings.required, label, distinct)
     if settings.dedup_keys:
         newest = [F.desc_nulls_last("timestamp_updated"), F.asc("recommendationid")]

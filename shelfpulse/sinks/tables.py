@@ -125,6 +125,13 @@ def _location(spark: SparkSession, name: str) -> str:
     return described.first()["data_type"].rstrip("/")
 
 
+def table_bytes(spark: SparkSession, name: str) -> int:
+    """Size of the files below a table's folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_location(spark, name))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(path).getLength()
+
+
 def _replace_files(df: DataFrame, name: str, fmt: str, skip_empty: bool) -> int:
     spark = df.sparkSession
     current = _location(spark, name)
