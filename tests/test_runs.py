@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from shelfpulse.__main__ import parser, settings_from
 from shelfpulse.functions.dates import DayWindow
 from shelfpulse.operators.metrics import buyers_over
+from shelfpulse.operators.reviews import newest_summaries, page_entries
 from shelfpulse.plans import backfill, layers, run_daily, run_full
 from shelfpulse.plans.runs import take_in
 from shelfpulse.scratch import scratch_path, stage
 from shelfpulse.settings import JdbcTarget, Settings
 from shelfpulse.sinks import append_table
+from shelfpulse.sources.landing import intact_pages, located, read_review_pages, unreadable_pages
 from shelfpulse.streaming import Manifest, ingest_new
 
 
@@ -549,3 +551,23 @@ def test_manifest_tells_pages(spark, zone, settings):
     assert cut.readable is False and cut.n_reviews is None
     assert known.pages(spark).count() == 3
     assert known.open(known.pages(spark).where("NOT readable")).count() == 1
+
+
+def test_steps_that_need_no_texts_read_none(spark, zone, settings, monkeypatch):
+    zone.page("2026-07-10", 1, 1, [review("a", "2026-07-03")])
+    with open(next(zone.reviews.glob("crawl_dt=*/*.json")), "a") as file:
+        file.write('\n{"appid": 2, "page": 1, "reviews": [{"rev')
+    staged = {}
+
+    def keep(df, label):
+        staged[label] = stage(df, label)
+        return staged[label]
+
+    monkeypatch.setattr(layers, "stage", keep)
+    rows = layers.crawled_rows(located(read_review_pages(spark, str(zone.reviews))), settings)
+    assert [r.recommendationid for r in rows.collect()] == ["a"] and staged["unreadable"].count() == 1
+    pages = staged["pages"]
+    assert sorted(r.n_reviews is None for r in pages.select("n_reviews").collect()) == [False, True]
+    for narrow in (newest_summaries(intact_pages(pages)), unreadable_pages(pages), page_entries(pages)):
+        read = narrow._jdf.queryExecution().executedPlan().toString().split("ReadSchema: ")[1].split("\n")[0]
+        assert "review:" not in read and "recommendationid" not in read
