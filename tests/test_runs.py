@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import time
 import uuid
 from decimal import Decimal
 
@@ -16,6 +17,7 @@ from shelfpulse.operators.metrics import buyers_over
 from shelfpulse.operators.reviews import newest_summaries, page_entries
 from shelfpulse.plans import backfill, layers, run_daily, run_full
 from shelfpulse.plans.runs import take_in
+from shelfpulse.schemas import GMV, TREND, with_day
 from shelfpulse.scratch import scratch_path, stage
 from shelfpulse.settings import JdbcTarget, Settings
 from shelfpulse.sinks import append_table
@@ -23,6 +25,37 @@ from shelfpulse.sources.landing import intact_pages, located, read_review_pages,
 from shelfpulse.streaming import Manifest, ingest_new
 
 
+def test_the_driver_holds_one_step_at_a_time(spark, database, monkeypatch):
+    settings = Settings(namespace=database, review_landing="", game_landing="", checkpoint="")
+    gmv = [("1", "2024-01-01", Decimal(1), 1)]
+    tables = {"gmv": (gmv, GMV), "trend": ([], with_day(TREND))}
+    for role, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.saveAsTable(settings.table(role))
+    building, most = [], []
+
+    def replace(df, name, **options):
+        building.append(name)
+        most.append(len(building))
+        time.sleep(0.2)
+        building.remove(name)
+
+    monkeypatch.setattr(layers, "replace_table", replace)
+    layers.build_boards(spark, settings, dt.date(2024, 1, 1))
+    assert most == [1, 1, 1, 1]
+
+
+def test_a_step_that_fails_does_not_keep_the_others_from_running():
+    ran = []
+
+    def fails(text):
+        ran.append(text)
+        raise ValueError(text)
+
+    with pytest.raises(ValueError, match="first"):
+        layers.in_turn(lambda: fails("first"), lambda: fails("second"), lambda: ran.append("third"))
+    assert ran == ["first", "second", "third"]
+
+
 def stamp(day, hour=12):
     moment = dt.datetime.fromisoformat(day).replace(hour=hour, tzinfo=dt.UTC)
     return int(moment.timestamp())
